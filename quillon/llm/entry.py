@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import decontam, license_scan, line_dedup, pii
+from quillon.llm import decontam, jaccard_join, license_scan, line_dedup, pii
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,12 +29,16 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "n_lines", "n_dropped", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_kept_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op4_license_scan, op5_line_dedup, op7_pii)}
+    return {f.__name__: f for f in (op2_decontaminate, op4_license_scan, op5_line_dedup, op6_jaccard_join, op7_pii)}
 
 
 def oracle_sql() -> dict[str, str]:

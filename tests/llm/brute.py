@@ -88,3 +88,32 @@ def licensed(docs, templates, threshold=80):
             if 100 * max(scores)[0] >= threshold:
                 tops.append(max(scores))
         yield doc, forms[-max(tops)[1]][0] if tops else None, round(max(tops)[0], 6) if tops else 0.0, len(tops)
+
+
+def shingles(text, n=5):
+    words = WORD.findall((text or "").translate(LOWER))
+    return {tuple(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def jaccard(docs, pct=75):
+    """docs: (id, text). Rows (doc_id, n_shingles, component_id)."""
+    sets = {doc: shingles(text) for doc, text in docs}
+    root = {doc: doc for doc in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    holders, common = defaultdict(list), Counter()
+    for doc, own in sets.items():
+        for s in own:
+            holders[s].append(doc)
+    for held in holders.values():
+        common.update((a, b) for k, a in enumerate(held) for b in held[:k])
+    for (a, b), n in common.items():
+        if 100 * n >= pct * (len(sets[a]) + len(sets[b]) - n):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    for doc, own in sets.items():
+        yield doc, len(own), find(doc)
