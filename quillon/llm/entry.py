@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import decontam, jaccard_join, license_scan, line_dedup, pii
+from quillon.llm import decontam, jaccard_join, license_scan, line_dedup, mixing, pii, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,8 +37,17 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Which rule rejects first depends on measured costs; whether any does, not.
+    return quality.quality_cascade(_table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op4_license_scan, op5_line_dedup, op6_jaccard_join, op7_pii)}
+    return {f.__name__: f for f in (op2_decontaminate, op4_license_scan, op5_line_dedup, op6_jaccard_join, op7_pii, op9_mix, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

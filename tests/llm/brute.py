@@ -117,3 +117,36 @@ def jaccard(docs, pct=75):
             root[y] = x
     for doc, own in sets.items():
         yield doc, len(own), find(doc)
+
+
+def quality(docs):
+    """Rows (doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
+    for doc, text in docs:
+        words = WORD.findall(text or "")
+        grams = [tuple(words[k : k + 3]) for k in range(len(words) - 2)]
+        times = Counter(grams)
+        covered = {k + j for k, g in enumerate(grams) if times[g] > 1 for j in range(3)}
+        lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+        n = len(words)
+        yield doc, n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered), n < 50 or 100 * len(covered) > 50 * n
+
+
+def targets(docs, weights=(3, 1, 2), share=1.5, most=2):
+    """docs: (id, text, source). {source: (source_size, target)}."""
+    sizes = Counter()
+    for _, text, source in docs:
+        sizes[source] += len(WORD.findall(text or ""))
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    target, left, free = {}, share * sum(sizes.values()), list(names)
+    while free:
+        each = left / sum(w[s] for s in free)
+        over = [s for s in free if each * w[s] > most * sizes[s]]
+        if not over:
+            target |= {s: each * w[s] for s in free}
+            break
+        for s in over:
+            target[s] = most * sizes[s]
+            left -= target[s]
+            free.remove(s)
+    return {s: (sizes[s], target[s]) for s in names}
