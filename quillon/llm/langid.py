@@ -153,7 +153,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     return net
 
 
-def _predict(net: ByteNet | None):
+def _predict(net: ByteNet | None, text: str, keep: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = np.array(batch.column(1).to_pylist(), bool)
@@ -162,7 +162,8 @@ def _predict(net: ByteNet | None):
             else:
                 langs, scores = net.predict(batch.column(0))
             langs = [x if k else UNKNOWN for x, k in zip(langs, known, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(langs, pa.string()), pa.array(np.where(known, scores, 0.0))], names=[*batch.schema.names[2:], "lang_pred", "score"])
+            kept = [batch.column(0) if k == text else batch.column(k) for k in keep]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(langs, pa.string()), pa.array(np.where(known, scores, 0.0))], names=[*keep, "lang_pred", "score"])
 
     return run
 
@@ -175,8 +176,8 @@ def identify(docs: DataFrame, net: ByteNet | None, text: str = "text", keep: tup
     """
     kinds = dict(docs.dtypes)
     letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    source = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text"), letter.alias("_letter"), *keep)
-    return source.mapInArrow(_predict(net), ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "lang_pred string, score double"]))
+    source = docs.select(F.col(text).alias("_text"), letter.alias("_letter"), *[k for k in keep if k != text])
+    return source.mapInArrow(_predict(net, text, keep), ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "lang_pred string, score double"]))
 
 
 def held_out(doc_id: str = "doc_id"):
