@@ -1,0 +1 @@
+"""Scalar functions over columns: geography, currency, calendar, null-aware arithmetic."""

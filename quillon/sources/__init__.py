@@ -1,0 +1 @@
+"""Tables in and out: schemas, readers, the weekly sample adapter, sinks."""
