@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from quillon.plans.lineage import cut, sized_join
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Runs of what ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` accepts, written as ranges: the regex engine runs this form several times faster.
+WORD = r"[0-9a-z\x{80}-\x{10FFFF}]++"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
