@@ -341,7 +341,11 @@ def factor_returns_full(spark, sf):
     return shown(regression.factor_returns(made.wide, _tables(spark, sf)["returns"], live_factors(made), CFG))
 
 
-@query()
+_NAMES = "(select unnest([" + ", ".join(f"'{s}'" for s in crosssection.STYLES) + "]) f union select distinct name from dum)"
+_WHOLE = " and ".join(f"{s} is not null" for s in crosssection.STYLES)
+
+
+@query(_with("dum", f"""select {_DAY}, f as FACTOR_NAME, 0.0::double as dot from (select "DATE" from styles join rets using (SECURITY_ID, "DATE") where {_WHOLE} group by 1 having count(*) >= (select count(*) from {_NAMES}) + 2) join {_NAMES} on true"""))
 def ols_orthogonality(spark, sf):
     """Each factor's exposures times what all factors leave over, by date: zero throughout."""
     made = _exposures(spark, sf)
