@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import decontam, html_extract, jaccard_join, langid, license_scan, line_dedup, mixing, pii, quality, url_filter
+from quillon.llm import decontam, html_extract, jaccard_join, langid, license_scan, line_dedup, mixing, oracles, pii, quality, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,4 +66,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
