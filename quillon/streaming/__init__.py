@@ -1,0 +1 @@
+"""Incremental versions of the rolling features as Structured Streaming queries."""
