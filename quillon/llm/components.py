@@ -17,15 +17,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = cut(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        # Large star: each node hands its larger neighbours to its smallest one.
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).repartition("u").distinct()
+        # Small star: each node, and its smaller neighbours, to the smallest of them.
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(down, "u")
-        small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).distinct()
-        small = cut(small, "edges")
+        moved = large.join(down, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = cut(moved.unionByName(down.select("u", F.col("m").alias("v"))).repartition("u").distinct(), "edges")
         # Done when every node has one link, and it leads to a node that has none.
-        many = small.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
-        if not many and not small.join(small.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count():
-            roots = small.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-            return small.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
-        edges = small
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not seen.filter("up > 1 or (up = 1 and down = 1)").limit(1).count():
+            return edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("root")), F.struct(F.col("v").alias("node"), F.col("v").alias("root")))).alias("e")).select("e.*").distinct()

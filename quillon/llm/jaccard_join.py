@@ -5,9 +5,10 @@ first pivots are therefore all single-shingle sets: the distance of a document x
 and 1 for all others, so x lies in the Voronoi regions of its shingles. Ties go to the pivot that fewest documents have.
 The triangle inequality bounds how far a partner's nearest pivot can lie in that order: with J >= t, x and y share one of
 the first |x| - ceil(t |x|) + 1 pivots of either, so a document is replicated to these regions and no others.
-Regions are joined recursively: a region's smallest documents become its pivots, all others are compared with them, and
-members stay only while the region holds two components. A pair is skipped if its sizes, or its distances to the region's
-first pivot, differ by more than the threshold allows (the window of the triangle inequality).
+Regions are joined recursively: a region's most central document becomes its pivot, and all others are compared with it.
+Where this leaves several components, documents outside the region's largest one are the next pivots, until none is left.
+A pair is skipped if its sizes or numbers of unshared shingles rule it out, or if its distances to the region's first pivot
+differ by more than the threshold allows (the window of the triangle inequality).
 
 Shingles that a single text has can't be shared: they are found first, and count only by number. Documents of which fewer
 than t |x| shingles remain can't have a partner.
@@ -25,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.llm import textkernel
@@ -36,7 +37,7 @@ from quillon.plans.lineage import cut
 FLUSH, BUCKET = 1_500_000, 1_500_000
 #: A shingle is heavy if a share of 1/HEAVY of all documents has it, so at most HEAVY times the mean set size are.
 HEAVY, LOCAL_HEAVY = 1000, 4
-FIRST_PIVOTS = 8
+NEXT_PIVOTS = 256
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[list[tuple[int, np.ndarray]]]:
@@ -171,13 +172,15 @@ def _regions(pct: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, ns, parts = (batch.column(k).to_pylist() for k in range(3))
-            sets, firsts = [], []
+            sets, firsts, had, central = [], [], [], []
             for n, part in zip(ns, parts, strict=True):
                 keys, dfs = np.frombuffer(b"".join(x["keys"] for x in part), np.uint64), np.frombuffer(b"".join(x["dfs"] for x in part), np.uint8)
                 most = n - -(-pct * n // 100) + 1 - (n - len(keys))
                 firsts.append(keys[np.lexsort((keys, dfs))[: max(most, 0)]].view(np.int64))
                 sets.append(np.sort(keys).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(sets, pa.binary()), pa.array(firsts, pa.list_(pa.int64()))], names=["doc_id", "n", "keys", "pivots"])
+                had.append(len(keys))
+                central.append(1000 * int(dfs.sum(dtype=np.int64)) // n)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(had, pa.int64()), pa.array(central, pa.int64()), pa.array(sets, pa.binary()), pa.array(firsts, pa.list_(pa.int64()))], names=["doc_id", "n", "had", "central", "keys", "pivots"])
 
     return run
 
@@ -199,36 +202,43 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _links(sets: DataFrame, pct: int) -> DataFrame:
     """Links ``a, b`` that connect all documents at J >= pct/100, though not all of them."""
-    fits = lambda a, b: (F.col(a) * 100 >= F.col(b) * pct) & (F.col(b) * 100 >= F.col(a) * pct)
+
+    def fits(x: str, y: str) -> Column:
+        """Whether J can reach the threshold: of n shingles each, ``had`` are shared with any text at all."""
+        (n, h), (m, k) = ((F.col(f"{c}.n"), F.col(f"{c}.had")) for c in (x, y))
+        return F.least(h, k) * 100 >= (n - h + m - k + F.greatest(h, k)) * pct
+
     near = F.col("common") * 100 >= F.col("total") * pct
-    regions = sets.select(F.explode("pivots").alias("s"), "doc_id", "n")
-    first = regions.groupBy("s").agg(F.min(F.struct("doc_id", "n")).alias("f"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("s", F.col("f.doc_id").alias("p"), F.col("f.n").alias("np"), "size")
-    members = regions.join(first, "s").filter("doc_id <> p")
-    pairs = members.filter(fits("n", "np")).select("p", F.col("doc_id").alias("x")).distinct()
-    known = _measured(pairs, sets)
+    regions = sets.select(F.explode("pivots").alias("s"), F.struct((-F.col("central")).alias("order"), "doc_id", "n", "had").alias("x"))
+    first = regions.groupBy("s").agg(F.min("x").alias("p"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = regions.join(first, "s").filter("x.doc_id <> p.doc_id")
+    known = _measured(members.filter(fits("x", "p")).select(F.col("p.doc_id").alias("p"), F.col("x.doc_id").alias("x")).distinct(), sets)
     links = known.filter(near).select(F.col("p").alias("a"), F.col("x").alias("b"))
-    # Regions of three or more whose members are not yet one component go on, without the pivot.
-    rest, most = members.filter("size > 2").select("s", "p", "doc_id", "n"), FIRST_PIVOTS
+    far = known.select(F.col("p").alias("_p"), F.col("x").alias("_x"), (1 - F.col("common") / F.col("total")).alias("d"))
+    rest = members.filter("size > 2").select("s", F.col("p.doc_id").alias("r"), "x").drop("size")
+    most = NEXT_PIVOTS
     while True:
         roots = cut(components(links), "roots")
-        named = rest.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-        mixed = named.groupBy("s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("s")
-        rest = cut(named.join(mixed, "s"), "rest")
+        named = rest.join(roots, F.col("x.doc_id") == F.col("node"), "left").select("s", "r", "x", F.coalesce("root", "x.doc_id").alias("root"))
+        # Regions of several components, with their largest one.
+        sizes = named.groupBy("s", "root").agg(F.count(F.lit(1)).alias("k"))
+        mixed = sizes.groupBy("s").agg(F.max(F.struct("k", "root")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("s", F.col("top.root").alias("main"))
+        rest = named.join(mixed, "s").join(far, (F.col("r") == F.col("_p")) & (F.col("x.doc_id") == F.col("_x")), "left").drop("_p", "_x")
+        rest = cut(rest, "rest")
         if not rest.limit(1).count():
             return links
-        ranked = rest.withColumn("rank", F.row_number().over(Window.partitionBy("s").orderBy("doc_id")))
-        next_ = ranked.filter(F.col("rank") <= most).select("s", F.col("doc_id").alias("q"), F.col("n").alias("nq"), F.col("root").alias("root_q"))
-        todo = rest.drop("p").join(next_, "s").filter((F.col("doc_id") > F.col("q")) & (F.col("root") != F.col("root_q")) & fits("n", "nq"))
-        todo = cut(todo.select(F.col("q").alias("p"), F.col("doc_id").alias("x"), "s").distinct(), "pairs")
-        # The window: how far both are from a pivot that both were compared with.
-        far = known.select("p", "x", (1 - F.col("common") / F.col("total")).alias("d"))
-        seen = rest.select("s", F.col("p").alias("r")).distinct()
-        windowed = todo.join(seen, "s").join(far.select(F.col("p").alias("r"), F.col("x").alias("p"), F.col("d").alias("dp")), ["r", "p"], "left").join(far.select(F.col("p").alias("r"), "x", F.col("d").alias("dx")), ["r", "x"], "left")
-        apart = F.abs(F.col("dp") - F.col("dx")) > 1 - pct / 100 + 1e-9
-        pairs = windowed.filter(~F.coalesce(apart, F.lit(False))).select("p", "x").distinct()
-        links = links.unionByName(_measured(pairs, sets).filter(near).select(F.col("p").alias("a"), F.col("x").alias("b")))
-        rest = rest.drop("root").join(next_.select("s", F.col("q").alias("doc_id")), ["s", "doc_id"], "left_anti")
-        most *= 8
+        ranked = rest.filter("root <> main").withColumn("rank", F.row_number().over(Window.partitionBy("s").orderBy("x")))
+        pivots = ranked.filter(F.col("rank") <= most).select("s", F.col("x").alias("q"), F.col("root").alias("root_q"), F.col("d").alias("d_q"))
+        # A pair of two such documents comes up once; the window is that of the region's first pivot.
+        once = (F.col("root") == F.col("main")) | (F.col("q") < F.col("x"))
+        within = F.coalesce(F.abs(F.col("d") - F.col("d_q")) <= 1 - pct / 100 + 1e-9, F.lit(True))
+        todo = rest.join(pivots, "s").filter((F.col("root") != F.col("root_q")) & once & within & fits("x", "q"))
+        found = _measured(todo.select(F.col("q.doc_id").alias("p"), F.col("x.doc_id").alias("x")).distinct(), sets)
+        links = links.unionByName(found.filter(near).select(F.col("p").alias("a"), F.col("x").alias("b")))
+        done = pivots.select("s", F.col("q.doc_id").alias("_done"))
+        left = rest.alias("l").join(done.alias("r2"), (F.col("l.s") == F.col("r2.s")) & (F.col("l.x.doc_id") == F.col("_done")), "left_anti")
+        rest = left.select("s", "r", "x")
+        most *= 16
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = 5, pct: int = 75) -> DataFrame:
@@ -247,7 +257,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     blobs = docs.mapInArrow(_shred(n, buckets, heavy), "bucket long, heavy boolean, ids binary, ns binary, digests binary, counts binary, keys binary")
     shared = blobs.groupBy("bucket").applyInPandas(_shared(), "doc_id long, n long, keys binary, dfs binary")
     whole = shared.groupBy("doc_id").agg(F.max("n").alias("n"), F.sum(F.length("dfs")).alias("had"), F.collect_list(F.struct("keys", "dfs")).alias("parts")).filter(F.col("had") * 100 >= F.col("n") * pct)
-    sets = cut(whole.select("doc_id", "n", "parts").mapInArrow(_regions(pct), "doc_id long, n long, keys binary, pivots array<long>"), "sets")
+    sets = cut(whole.select("doc_id", "n", "parts").mapInArrow(_regions(pct), "doc_id long, n long, had long, central long, keys binary, pivots array<long>"), "sets")
     roots = cut(components(_links(sets, pct)), "components")
     classes = marks.filter("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "n", F.coalesce("root", "rep").alias("root"))
