@@ -7,8 +7,8 @@ The triangle inequality bounds how far a partner's nearest pivot can lie in that
 the first |x| - ceil(t |x|) + 1 pivots of either, so a document is replicated to these regions and no others.
 Regions are joined recursively: a region's most central document becomes its pivot, and all others are compared with it.
 Where this leaves several components, documents outside the region's largest one are the next pivots, until none is left.
-A pair is skipped if its sizes or numbers of unshared shingles rule it out, or if its distances to the region's first pivot
-differ by more than the threshold allows (the window of the triangle inequality).
+A pair is skipped if the shingles from the region's on are too few for the threshold, or if its distances to the region's
+first pivot differ by more than the threshold allows (the window of the triangle inequality).
 
 Shingles that a single text has can't be shared: they are found first, and count only by number. Documents of which fewer
 than t |x| shingles remain can't have a partner.
@@ -204,12 +204,14 @@ def _links(sets: DataFrame, pct: int) -> DataFrame:
     """Links ``a, b`` that connect all documents at J >= pct/100, though not all of them."""
 
     def fits(x: str, y: str) -> Column:
-        """Whether J can reach the threshold: of n shingles each, ``had`` are shared with any text at all."""
+        """Whether J can reach the threshold by shingles that come no earlier than the region's: of n, each has ``had``
+        of those. A pair with an earlier one in common meets in that one's region."""
         (n, h), (m, k) = ((F.col(f"{c}.n"), F.col(f"{c}.had")) for c in (x, y))
         return F.least(h, k) * 100 >= (n - h + m - k + F.greatest(h, k)) * pct
 
     near = F.col("common") * 100 >= F.col("total") * pct
-    regions = sets.select(F.explode("pivots").alias("s"), F.struct((-F.col("central")).alias("order"), "doc_id", "n", "had").alias("x"))
+    placed = sets.select("doc_id", "n", "had", "central", F.posexplode("pivots").alias("pos", "s"))
+    regions = placed.select("s", F.struct((-F.col("central")).alias("order"), "doc_id", "n", (F.col("had") - F.col("pos")).alias("had")).alias("x"))
     first = regions.groupBy("s").agg(F.min("x").alias("p"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = regions.join(first, "s").filter("x.doc_id <> p.doc_id")
     known = _measured(members.filter(fits("x", "p")).select(F.col("p.doc_id").alias("p"), F.col("x.doc_id").alias("x")).distinct(), sets)
