@@ -29,16 +29,21 @@ TABLE = 1 << 16
 BUCKETS = 256
 
 
-def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts = [w.counts for w in textkernel.words(batch.column(0), hashed=False)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(counts) if counts else [], pa.int64()), *batch.columns[1:]], names=["size", *batch.schema.names[1:]])
+def _sizes(text: str, keep: tuple[str, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [w.counts for w in textkernel.words(batch.column(0), hashed=False)]
+            kept = [batch.column(0) if k == text else batch.column(k) for k in keep]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(counts) if counts else [], pa.int64()), *kept], names=["size", *keep])
+
+    return run
 
 
 def with_size(docs: DataFrame, text: str, *keep: str) -> DataFrame:
     """``size`` (number of words; null: 0) and the columns ``keep``."""
     kinds = dict(docs.dtypes)
-    return docs.select(text, *keep).mapInArrow(_sizes, ", ".join(["size long", *(f"`{k}` {kinds[k]}" for k in keep)]))
+    rows = docs.select(F.col(text).alias("_text"), *[k for k in keep if k != text])
+    return rows.mapInArrow(_sizes(text, keep), ", ".join(["size long", *(f"`{k}` {kinds[k]}" for k in keep)]))
 
 
 def share_out(sizes: list[int], weights: list[float], words: float, most: float) -> list[float]:
@@ -121,16 +126,17 @@ def _plan(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2, seed: int = 17) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken`` of every row.
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2, seed: int = 17, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, taken`` of every row, and its columns ``keep``.
 
     Sources are weighed in order of code point, null last, as a source of its own; texts that are null or without words
     have size 0 and are never taken more than their source's full passes. ``copies`` is 0, 1 or 2 by ``most``; ``taken``
     is copies times size. Ties in the seeded hash go by id; rows that repeat an id and size are interchangeable. An empty
     table gives none.
     """
-    sized = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).cast("string").alias("source"))
-    sized = cut(with_size(sized, "text", "doc_id", "source"), "sizes")
+    more = tuple(k for k in keep if k not in (doc_id, source))
+    sized = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), text, *[k for k in more if k != text])
+    sized = cut(with_size(sized, text, "doc_id", "source", *more), "sizes")
     hashed = F.xxhash64(F.lit(seed), F.col("doc_id"))
     bucket = F.pmod(F.shiftrightunsigned(hashed, 20), F.lit(BUCKETS)).alias("bucket")
     counts = cut(sized.groupBy("source", "size", bucket).agg(F.count(F.lit(1)).alias("n")), "counts")
@@ -144,10 +150,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     on = counts["source"].eqNullSafe(plan["source"]) & (counts["size"] == plan["size"])
     quotas = counts.withColumn("earlier", earlier).join(plan, on).select(counts["source"], counts["size"], "bucket", "source_size", "target", "times", F.greatest(F.lit(0), F.least("n", F.col("quota") - F.col("earlier"))).alias("some"), "n")
     asked = sized.withColumn("bucket", bucket).alias("s").join(quotas.alias("q"), F.col("s.source").eqNullSafe(F.col("q.source")) & (F.col("s.size") == F.col("q.size")) & (F.col("s.bucket") == F.col("q.bucket")))
-    asked = asked.select("s.doc_id", "s.source", "s.size", "s.bucket", "source_size", "target", "times", "some", "n")
+    asked = asked.select("s.doc_id", "s.source", "s.size", "s.bucket", *[f"s.{k}" for k in more], "source_size", "target", "times", "some", "n")
     partly = (F.col("some") > 0) & (F.col("some") < F.col("n"))
     rank = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy(hashed, "doc_id"))
     once = asked.filter(~partly).withColumn("more", (F.col("some") > 0).cast("long"))
     part = asked.filter(partly).withColumn("more", (rank <= F.col("some")).cast("long"))
     out = once.unionByName(part)
-    return out.withColumn("copies", F.col("times") + F.col("more")).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.withColumn("copies", F.col("times") + F.col("more")).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *more)

@@ -46,6 +46,8 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The column's bytes and the offset of each text, one more at the end; null is empty."""
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     if column.null_count:
         column = column.fill_null("")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
