@@ -42,8 +42,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with ``size``, ``copies`` and ``taken``."""
-    taken = mixing.mix(docs).filter("copies > 0").select(F.col("doc_id").alias("_doc_id"), "size", "copies", "taken")
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_doc_id"))).select(*docs.columns, "size", "copies", "taken")
+    taken = mixing.mix(docs, keep=tuple(docs.columns)).filter("copies > 0")
+    return taken.select(*docs.columns, "size", "copies", "taken")
 
 
 STAGES = [("language_id", language_id), ("line_dedup", dedup_lines), ("jaccard_join", near_duplicates), ("decontamination", decontaminate), ("mixing", mix_sources)]
