@@ -195,6 +195,71 @@ def fx_convert_latest(spark, sf):
     return fx.to_usd_latest(amounts, rates, "AMOUNT").select("o_orderkey", F.round("AMOUNT", 2).alias("AMOUNT"))
 
 
+def _house_with(spark, sf, **tables) -> Warehouse:
+    house = _warehouse(spark, sf)
+    house.tables |= tables
+    return house
+
+
+@query(_with("prices", f"""select SECURITY_ID, {_DAY}, round(px * vol, 4) as MARKETCAP from prices where SECURITY_ID in ('S2', 'S4') and "DATE" between date '1996-01-01' and date '1997-12-31'"""))
+def market_value_filter(spark, sf):
+    prices = _tables(spark, sf)["prices"]
+    caps = prices.select(ID, DATE, "CURRENCY", (F.col("ADJUSTED_PRICE") * F.col("ADJUSTED_VOLUME")).alias("MARKETCAP"))
+    return _house_with(spark, sf, market_value=caps).market_value("1996-01-01", "1997-12-31", ["S2", "S4"]).select(ID, iso(DATE).alias(DATE), F.round("MARKETCAP", 4).alias("MARKETCAP"))
+
+
+@query(_with("prices", """select SECURITY_ID as ticker, strftime("DATE", '%Y-%m-%d') as date, round(px, 6) + 0.0 as close from prices where SECURITY_ID in ('S1', 'S2') and "DATE" between date '1997-01-01' and date '1997-06-30'"""))
+def stock_data(spark, sf):
+    t = _tables(spark, sf)
+    keyed = lambda df: df.withColumnsRenamed({ID: "ticker", DATE: "date"})
+    house = _house_with(spark, sf, ohlcv=keyed(t["prices"]).withColumnRenamed("ADJUSTED_PRICE", "close"), legacy_fundamentals=keyed(t["fundamentals"]))
+    return shown(house.stock_data(["S1", "S2"], "1997-01-01", "1997-06-30")[0], "ticker", "date", "close")
+
+
+@query(_with("prices", f"""select {_DAY}, round(r, 6) + 0.0 as ONE_DAY_PCT from (select "DATE", px / nullif(lag(px) over (order by "DATE"), 0) - 1 r from (select "DATE", avg(px) px from prices where "DATE" between date '1996-01-01' and date '1999-12-31' group by 1)) where r is not null"""))
+def index_returns(spark, sf):
+    level = _tables(spark, sf)["prices"].groupBy(DATE).agg(F.avg("ADJUSTED_PRICE").alias("ADJUSTED_PRICE")).withColumn(ID, F.lit("INDEX"))
+    return shown(_house_with(spark, sf, index_prices=level).index_returns("1996-01-01", "1999-12-31"))
+
+
+@query(_with("prices", """select d as day, n, k as name from (select '1997-01-06' d, 'prices' k, count(*) n from prices where "DATE" = date '1997-01-06' union all select '1997-01-06', 'fundamentals', count(*) from prices where "DATE" = date '1997-01-06'
+union all select '1997-01-06', 'universe', count(distinct SECURITY_ID) from prices where "DATE" = date '1997-01-06' union all select '1997-01-07', 'prices', 0 union all select '1997-01-07', 'fundamentals', 0 union all select '1997-01-07', 'universe', 0)"""))
+def data_for_date(spark, sf):
+    t = _tables(spark, sf)
+    none = t["prices"].limit(0).select(ID, DATE)
+    house = _house_with(spark, sf, exchange_rates=none.select(DATE).withColumns({"CURRENCY": F.lit(""), fx.RATE: F.lit(1.0)}), market_value=none, enterprise_value=none)
+    counts = [house.data_for_date(d)[k].agg(F.count(F.lit(1)).alias("n")).select(F.lit(d).alias("day"), F.lit(k).alias("name"), "n") for d in ("1997-01-06", "1997-01-07") for k in ("prices", "fundamentals", "universe")]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+@query(_with("rets", """select strftime("DATE", '%Y-%m-%d') as DATE from (select "DATE" from fund intersect select "DATE" from rets)"""))
+def common_dates(spark, sf):
+    t = _tables(spark, sf)
+    return t["fundamentals"].select(iso(DATE).alias(DATE)).intersect(t["returns"].select(iso(DATE).alias(DATE)))
+
+
+@query(_with("rets", f"""select SECURITY_ID, {_DAY}, count(r) over w as held, round(first_value(r) over w, 6) + 0.0 as oldest, round(r, 6) + 0.0 as newest from rets window w as (partition by SECURITY_ID order by "DATE" rows between 4 preceding and current row)"""))
+def ring_buffer(spark, sf):
+    df = rolling.ring_values(_tables(spark, sf)["returns"], "ONE_DAY_PCT", 5)
+    return shown(df, ID, DATE, F.size("BUFFER").cast("long").alias("held"), F.element_at("BUFFER", 1).alias("oldest"), F.element_at("BUFFER", -1).alias("newest"))
+
+
+@query()
+def all_data_counts(spark, sf):
+    """Rows of a sample's tables; which securities are sampled depends on the hash."""
+    t = _tables(spark, sf)
+    none = t["prices"].limit(0).select(ID, DATE)
+    house = _house_with(spark, sf, exchange_rates=none.select(DATE).withColumns({"CURRENCY": F.lit(""), fx.RATE: F.lit(1.0)}), market_value=none, enterprise_value=none)
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("name"), "n") for k, df in house.all_data("1997-01-01", "1997-12-31").items()]
+    out = parts[0]
+    for c in parts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 @query()
 def sample_ids(spark, sf):
     return _warehouse(spark, sf).sample_ids(50)

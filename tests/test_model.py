@@ -209,3 +209,15 @@ def test_factor_names(spark):
     df = spark.createDataFrame([(n,) for n in names], "FACTOR_NAME string")
     got = [(r.FACTOR_DISPLAY_NAME, r.FACTOR_GROUP) for r in metadata.factor_names(df, ModelConfig()).collect()]
     assert got == [("VALUE", "Style Factors"), ("Oil Gas Sector", "Sector Factors"), ("North America Developed", "Geographic Factors"), ("Intercept", "Market Factor")]
+
+
+def test_download_and_read_again(spark, tmp_path):
+    prices = spark.createDataFrame([("A", day(k), 10.0 + k, 5.0, False) for k in range(6)], "SECURITY_ID string, DATE date, ADJUSTED_PRICE double, ADJUSTED_VOLUME double, IS_HOLIDAY boolean")
+    fundamentals = spark.createDataFrame([("A", day(k), 1.0) for k in range(6)], "SECURITY_ID string, DATE date, SALES_LTM double")
+    universe = spark.createDataFrame([("A", "Canada", "Tech")], "SECURITY_ID string, COUNTRY string, SECTOR string")
+    Warehouse(spark, tables={"prices": prices, "fundamentals": fundamentals, "universe": universe, "returns": returns.daily_returns(prices)}).download("2020-01-03", "2020-01-05", str(tmp_path))
+    with Warehouse(spark, folder=str(tmp_path)) as house:
+        assert house.returns().count() == 4 and house.fundamentals().count() == 3
+        assert house.universe().first().CONTINENT == "North America Developed"
+    with pytest.raises(ConnectionError):
+        Warehouse(spark).connect()
