@@ -27,7 +27,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</?[a-zA-Z][^\s/>]*(?:\"[^\
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"\s(?:hidden(?=[\s/>=])|aria-hidden\s*=\s*[\"']?true)", re.I)
-_SPLIT = re.compile(r"[^a-z0-9]+")
+_SPLIT = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
 #: HTML's elements without content, with raw text, and those that break a line of text.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style title textarea noscript iframe template svg math object canvas xmp noframes".split())
@@ -38,7 +38,9 @@ _CHROME_WORDS = frozenset(
     "nav navbar navigation menu menubar header masthead banner footer contentinfo sidebar aside complementary ad ads advert adverts advertisement advertisements sponsor sponsored promo "
     "cookie cookies consent gdpr notice notices popup modal newsletter subscribe signup comment comments discussion respond replies breadcrumb breadcrumbs share sharing social related widget toolbar pagination search login".split()
 )
-_MAIN_WORDS = frozenset(("main", "article", "articlebody", "maincontent"))
+_MAIN_WORDS = frozenset("main article articlebody maincontent content post entry story".split())
+#: "with-sidebar" tells what an element has, not what it is.
+_NOT_ITSELF = frozenset("with has no".split())
 
 
 def lines_of(page: str) -> list[tuple[str, bool, bool]]:
@@ -88,12 +90,10 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
             continue
         words: set[str] = set()
         for marks in _MARKS.findall(tag):
-            words |= {x for x in _SPLIT.split("".join(marks).lower()) if x}
+            words |= {x.lower() for x in _SPLIT.split("".join(marks)) if x}
         own = name not in ("html", "body")
         is_main = own and (name in ("article", "main") or bool(words & _MAIN_WORDS)) and not words & _CHROME_WORDS
-        is_chrome = own and not is_main and (name in _CHROME or bool(words & _CHROME_WORDS) or bool(_HIDDEN.search(tag)))
-        if is_main and name != "article" and name != "main" and chrome:
-            is_main = False
+        is_chrome = own and not is_main and (name in _CHROME or bool(words & _CHROME_WORDS and not words & _NOT_ITSELF) or bool(_HIDDEN.search(tag)))
         stack.append((name, is_main, is_chrome))
         main, chrome = main + is_main, chrome + is_chrome
     flush()
