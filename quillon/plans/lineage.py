@@ -28,10 +28,25 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_WRITTEN: list[str] = []
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the tables that ``cut`` has written; results that still read them must have been written first."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def cut(df: DataFrame, name: str = "step") -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back, so that a lost executor costs no earlier stage."""
+    """Write ``df`` as a table in the shared folder and read it back, so that a lost executor costs no earlier stage.
+
+    The table stays until ``clear``, as lazy results may read it at any time.
+    """
     path = f"{shared_dir(df.sparkSession)}/quillon-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -221,3 +221,15 @@ def test_download_and_read_again(spark, tmp_path):
         assert house.universe().first().CONTINENT == "North America Developed"
     with pytest.raises(ConnectionError):
         Warehouse(spark).connect()
+
+
+def test_cut_tables_go_with_clear(spark):
+    import os
+
+    from quillon.plans import lineage
+
+    made = lineage.cut(spark.range(3))
+    path = lineage._WRITTEN[-1].removeprefix("file:")
+    assert made.count() == 3 and os.path.isdir(path)
+    lineage.clear(spark)
+    assert not os.path.exists(path) and not lineage._WRITTEN
