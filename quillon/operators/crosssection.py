@@ -45,12 +45,14 @@ def categories(universe: DataFrame, column: str) -> list[str]:
     return sorted(r[0] for r in universe.select(column).filter(F.col(column).isNotNull()).distinct().collect())
 
 
-def centred_dummies(df: DataFrame, column: str, prefix: str, values: list[str]) -> DataFrame:
-    """``df`` with a column for each value: 1 or 0, less the date's share of it. Null has 0 everywhere."""
-    names = {v: dummy_name(prefix, v) for v in values}
-    flag = lambda v: F.coalesce((F.col(column) == v).cast("double"), F.lit(0.0))
-    shares = df.groupBy(DATE).agg(*[F.avg(flag(v)).alias(f"_m_{n}") for v, n in names.items()])
-    return df.join(shares, DATE).withColumns({n: flag(v) - F.col(f"_m_{n}") for v, n in names.items()}).drop(*[f"_m_{n}" for n in names.values()])
+def centred_dummies(df: DataFrame, *categories: tuple[str, str, list[str]]) -> DataFrame:
+    """``df`` with a column for each value of each (column, prefix, values): 1 or 0, less the date's share of it.
+
+    Null has 0 everywhere. All shares come from one aggregate by date.
+    """
+    flags = {dummy_name(prefix, v): F.coalesce((F.col(column) == v).cast("double"), F.lit(0.0)) for column, prefix, values in categories for v in values}
+    shares = df.groupBy(DATE).agg(*[F.avg(flag).alias(f"_m_{n}") for n, flag in flags.items()])
+    return df.join(shares, DATE).withColumns({n: flag - F.col(f"_m_{n}") for n, flag in flags.items()}).drop(*[f"_m_{n}" for n in flags])
 
 
 def to_long(wide: DataFrame, factors: list[str], model: str) -> DataFrame:

@@ -35,9 +35,9 @@ def build_exposures(tables: dict[str, DataFrame], cfg: ModelConfig, start: str |
     for bound, keep in ((start, F.col(DATE) >= F.lit(start).cast("date")), (end, F.col(DATE) <= F.lit(end).cast("date"))):
         rows = rows.filter(keep) if bound else rows
     sectors, places = (crosssection.categories(tables["universe"], c) for c in ("SECTOR", "CONTINENT"))
-    wide = crosssection.style_exposures(rows, cfg)
-    wide = crosssection.centred_dummies(wide, "SECTOR", "SECTOR", sectors)
-    wide = crosssection.centred_dummies(wide, "CONTINENT", "CONTINENT", places)
+    # Each statistic by date reads the rows once more, so they and the styles are written, not computed again each time.
+    wide = crosssection.centred_dummies(cut(rows, "characteristics"), ("SECTOR", "SECTOR", sectors), ("CONTINENT", "CONTINENT", places))
+    wide = crosssection.style_exposures(wide, cfg)
     factors = [*crosssection.STYLES, *(crosssection.dummy_name("SECTOR", v) for v in sectors), *(crosssection.dummy_name("CONTINENT", v) for v in places)]
     return Exposures(wide.select(ID, DATE, *factors), factors, cfg.model)
 

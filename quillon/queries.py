@@ -302,6 +302,11 @@ def _panel(spark, sf):
     return rolling.as_of(rows, rolling.rolling_features(t["returns"], t["prices"], CFG), *crosssection.ROLLING)
 
 
+def _written_panel(spark, sf):
+    """The panel as a table: each statistic by date reads it once more."""
+    return cut(_panel(spark, sf), "panel")
+
+
 @query(_with("panel", f"select SECURITY_ID, {_DAY}, {_rounded(*crosssection.ROLLING)} from panel"))
 def rolling_asof(spark, sf):
     return shown(_panel(spark, sf), ID, DATE, *crosssection.ROLLING)
@@ -326,14 +331,14 @@ def _chars(spark, sf):
 _char_query("value_chars", ch.VALUE, "chars", _chars)
 _char_query("profitability_chars", ch.PROFITABILITY, "chars", _chars)
 _char_query("growth_chars", ch.GROWTH, "chars", _chars)
-_char_query("winsorize", crosssection.CHARACTERISTICS, "wins", lambda s, f: crosssection.winsorize(_panel(s, f), crosssection.CHARACTERISTICS, CFG.winsor))
-_char_query("zscore", crosssection.CHARACTERISTICS, "zs", lambda s, f: crosssection.zscore(crosssection.winsorize(_panel(s, f), crosssection.CHARACTERISTICS, CFG.winsor), crosssection.CHARACTERISTICS))
-_char_query("style_composites", crosssection.STYLES, "styles", lambda s, f: crosssection.style_exposures(_panel(s, f), CFG))
+_char_query("winsorize", crosssection.CHARACTERISTICS, "wins", lambda s, f: crosssection.winsorize(_written_panel(s, f), crosssection.CHARACTERISTICS, CFG.winsor))
+_char_query("zscore", crosssection.CHARACTERISTICS, "zs", lambda s, f: crosssection.zscore(crosssection.winsorize(_written_panel(s, f), crosssection.CHARACTERISTICS, CFG.winsor), crosssection.CHARACTERISTICS))
+_char_query("style_composites", crosssection.STYLES, "styles", lambda s, f: crosssection.style_exposures(_written_panel(s, f), CFG))
 
 
 @query(_with("styles", """select strftime("DATE", '%Y-%m-%d') as DATE, count(VALUE) as n, round(avg(VALUE), 6) + 0.0 as mean, round(stddev_samp(VALUE), 6) + 0.0 as deviation from styles group by 1"""))
 def zscore_invariants(spark, sf):
-    df = crosssection.style_exposures(_panel(spark, sf), CFG)
+    df = crosssection.style_exposures(_written_panel(spark, sf), CFG)
     return shown(df.groupBy(DATE).agg(F.count("VALUE").alias("n"), F.avg("VALUE").alias("mean"), F.stddev_samp("VALUE").alias("deviation")))
 
 
@@ -385,7 +390,7 @@ def exposure_diagnostics(spark, sf):
 def _fitted(spark, sf, factors: list[str]):
     """Two-factor inputs: long exposures, returns, factor returns; the first two have several readers."""
     t = _tables(spark, sf)
-    wide = cut(crosssection.style_exposures(_panel(spark, sf), CFG).select(ID, DATE, *factors), "styles")
+    wide = cut(crosssection.style_exposures(_written_panel(spark, sf), CFG).select(ID, DATE, *factors), "styles")
     returns = cut(t["returns"], "returns")
     return crosssection.to_long(wide, factors, CFG.model), returns, cut(regression.factor_returns(wide, returns, factors, CFG), "factor-returns")
 

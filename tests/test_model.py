@@ -106,7 +106,7 @@ def test_zscore_leaves_single_and_constant_rows(spark):
 
 def test_centred_dummies(spark):
     df = spark.createDataFrame([("A", day(0), "Tech"), ("B", day(0), "Oil Gas"), ("C", day(0), None), ("D", day(1), "Tech")], "SECURITY_ID string, DATE date, SECTOR string")
-    got = crosssection.centred_dummies(df, "SECTOR", "SECTOR", ["Oil Gas", "Tech"]).orderBy("SECURITY_ID").collect()
+    got = crosssection.centred_dummies(df, ("SECTOR", "SECTOR", ["Oil Gas", "Tech"])).orderBy("SECURITY_ID").collect()
     assert [round(r.SECTOR_Tech, 6) for r in got] == [0.666667, -0.333333, -0.333333, 0.0]
     assert [round(r.SECTOR_Oil_Gas, 6) for r in got] == [-0.333333, 0.666667, -0.333333, 0.0]
 
