@@ -123,8 +123,9 @@ def _merge(ids: np.ndarray, digests: np.ndarray) -> np.ndarray:
     return keep
 
 
-def _shared():
-    """Of a bucket, the shingles that two texts have or more: rows (doc_id, n, keys, dfs); heavy ones have df 255."""
+def _shared(groups: int):
+    """Of a bucket, the shingles that two texts have or more, in blobs by groups of documents: rows (grp, ids, ns, counts,
+    keys, dfs); heavy shingles have df 255. There are as many groups as buckets, and no more rows than shingles."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -157,30 +158,38 @@ def _shared():
                 # Bucket and 48 bits tell shingles apart as well as 48 + log2(buckets) bits do.
                 owner, dfs = owner[some], np.minimum(df[some], 254).astype(np.uint8)
                 keys = textkernel.mix(keys[some] ^ textkernel.mix(np.full(1, group["bucket"].iloc[0], np.uint64)))
-            order = np.argsort(owner, kind="stable")
+            place = (textkernel.mix(ids.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+            order = np.lexsort((owner, place[owner]))
             owner, keys, dfs = owner[order], keys[order], dfs[order]
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1, [len(owner)]]) if len(owner) else [0]
-            out += [(int(ids[owner[a]]), int(ns[owner[a]]), keys[a:b].tobytes(), dfs[a:b].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False)]
-        return pd.DataFrame(out, columns=["doc_id", "n", "keys", "dfs"])
+            grp = place[owner]
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(grp)) + 1, [len(grp)]]) if len(grp) else [0]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                whose, counts = np.unique(owner[a:b], return_counts=True)
+                out.append((int(grp[a]), ids[whose].tobytes(), ns[whose].tobytes(), counts.astype(np.int32).tobytes(), keys[a:b].tobytes(), dfs[a:b].tobytes()))
+        return pd.DataFrame(out, columns=["grp", "ids", "ns", "counts", "keys", "dfs"])
 
     return run
 
 
 def _regions(pct: int):
-    """Of a document, its shared shingles in order of value, and those whose regions it is replicated to."""
+    """Of a group of documents, those that can have a partner: their shared shingles in order of value, how many and how
+    common these are, and those whose regions the document is replicated to."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, ns, parts = (batch.column(k).to_pylist() for k in range(3))
-            sets, firsts, had, central = [], [], [], []
-            for n, part in zip(ns, parts, strict=True):
-                keys, dfs = np.frombuffer(b"".join(x["keys"] for x in part), np.uint64), np.frombuffer(b"".join(x["dfs"] for x in part), np.uint8)
-                most = n - -(-pct * n // 100) + 1 - (n - len(keys))
-                firsts.append(keys[np.lexsort((keys, dfs))[: max(most, 0)]].view(np.int64))
-                sets.append(np.sort(keys).tobytes())
-                had.append(len(keys))
-                central.append(1000 * int(dfs.sum(dtype=np.int64)) // n)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(had, pa.int64()), pa.array(central, pa.int64()), pa.array(sets, pa.binary()), pa.array(firsts, pa.list_(pa.int64()))], names=["doc_id", "n", "had", "central", "keys", "pivots"])
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        ids, ns, counts, keys, dfs = (np.frombuffer(b"".join(group[k]), t) for k, t in (("ids", np.int64), ("ns", np.int32), ("counts", np.int32), ("keys", np.uint64), ("dfs", np.uint8)))
+        docs, size = np.repeat(ids, counts), np.repeat(ns, counts)
+        order = np.argsort(docs, kind="stable")
+        docs, size, keys, dfs = docs[order], size[order], keys[order], dfs[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(docs)) + 1, [len(docs)]]) if len(docs) else [0]
+        out = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            n, had, own, df = int(size[a]), int(b - a), keys[a:b], dfs[a:b]
+            if had * 100 < n * pct:
+                continue
+            most = n - -(-pct * n // 100) + 1 - (n - had)
+            first = own[np.lexsort((own, df))[:most]].view(np.int64)
+            out.append((int(docs[a]), n, had, 1000 * int(df.sum(dtype=np.int64)) // n, np.sort(own).tobytes(), first))
+        return pd.DataFrame(out, columns=["doc_id", "n", "had", "central", "keys", "pivots"])
 
     return run
 
@@ -257,9 +266,9 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     often = seen.filter("key is not null").groupBy("key").agg(F.sum("hits").alias("hits")).filter(F.col("hits") >= max(HEAVY, rows // HEAVY))
     heavy = np.sort(often.select("key").toPandas()["key"].to_numpy(np.int64).view(np.uint64))
     blobs = docs.mapInArrow(_shred(n, buckets, heavy), "bucket long, heavy boolean, ids binary, ns binary, digests binary, counts binary, keys binary")
-    shared = blobs.groupBy("bucket").applyInPandas(_shared(), "doc_id long, n long, keys binary, dfs binary")
-    whole = shared.groupBy("doc_id").agg(F.max("n").alias("n"), F.sum(F.length("dfs")).alias("had"), F.collect_list(F.struct("keys", "dfs")).alias("parts")).filter(F.col("had") * 100 >= F.col("n") * pct)
-    sets = cut(whole.select("doc_id", "n", "parts").mapInArrow(_regions(pct), "doc_id long, n long, had long, central long, keys binary, pivots array<long>"), "sets")
+    shared = blobs.groupBy("bucket").applyInPandas(_shared(buckets), "grp long, ids binary, ns binary, counts binary, keys binary, dfs binary")
+    sets = shared.groupBy("grp").applyInPandas(_regions(pct), "doc_id long, n long, had long, central long, keys binary, pivots array<long>")
+    sets = cut(sets, "sets")
     roots = cut(components(_links(sets, pct)), "components")
     classes = marks.filter("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "n", F.coalesce("root", "rep").alias("root"))
@@ -269,7 +278,11 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", pct: int = 75) -> DataFrame:
-    """``docs`` with one document of each component: that of the smallest id. Rows without an id stay."""
-    kept = jaccard_components(docs, text, doc_id, pct=pct).filter("component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
+    """``docs`` with one document of each component: that of the smallest id, once if its row repeats. Rows without an id
+    stay. A column called ``_kept`` must not be there."""
+    kept = jaccard_components(docs, text, doc_id, pct=pct).filter("component_id = doc_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = cut(kept, "kept")
     first = docs.join(kept, F.col(doc_id) == F.col("_kept"), "left_semi")
+    if kept.filter("_rows > 1").limit(1).count():
+        first = first.dropDuplicates([doc_id])
     return first.unionByName(docs.filter(F.col(doc_id).isNull()))
