@@ -161,7 +161,9 @@ def test_jaccard_join(docs, empty):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(k for k, r in want.items() if r[2] == k)
 
 
-def test_jaccard_chains_and_thresholds(spark):
+@pytest.mark.parametrize("pivots", [1, 256])
+def test_jaccard_chains_and_thresholds(spark, monkeypatch, pivots):
+    monkeypatch.setattr(jaccard_join, "NEXT_PIVOTS", pivots)
     rng = random.Random(8)
     base = [f"w{k}" for k in range(300)]
     made = []
