@@ -13,7 +13,7 @@ first pivot differ by more than the threshold allows (the window of the triangle
 Shingles that a single text has can't be shared: they are found first, and count only by number. Documents of which fewer
 than t |x| shingles remain can't have a partner.
 
-Scale: one shuffle of 6 bytes a shingle in numpy blobs; equal sets and a task's repeats are merged before it, and
+Scale: one shuffle of 6 bytes a shingle in numpy blobs; of equal sets one goes on, and
 shingles that a thousandth of all documents or more have bypass it, so that copies and passages make no hot task. Region
 joins and components are DataFrame joins that Spark can split. Each phase ends in a table in the shared folder.
 """
@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 
 from quillon.llm import textkernel
 from quillon.llm.components import components
-from quillon.plans.lineage import cut
+from quillon.plans.lineage import cut, sized_join
 
 #: Shingles in one task's blobs, and in a bucket.
-FLUSH, BUCKET = 1_500_000, 1_500_000
+FLUSH, BUCKET = 500_000, 1_000_000
 #: A shingle is heavy if a share of 1/HEAVY of all documents has it, so at most HEAVY times the mean set size are.
 HEAVY, LOCAL_HEAVY = 1000, 4
 NEXT_PIVOTS = 256
@@ -81,24 +81,38 @@ def _signatures(n: int):
     return run
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """The bytes of all values, lowest first: those that hardly vary then lie together, and the shuffle compresses them."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _values(parts, kind: type) -> np.ndarray:
+    """The values of several ``_planes``."""
+    width = np.dtype(kind).itemsize
+    return np.concatenate([np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(width, -1).T).view(kind)[:, 0] for x in parts])
+
+
+def _ids(parts: pd.Series) -> np.ndarray:
+    """The ids of several blobs, from their differences."""
+    return np.concatenate([np.cumsum(_values([x], np.int64)) for x in parts])
+
+
 def _shred(n: int, buckets: int, heavy: np.ndarray):
-    """Blobs of 6-byte shingles by bucket: rows (bucket, ids, ns, digests, counts, keys), and heavy ones of 8 bytes apart."""
+    """Blobs of 6-byte shingles by bucket: rows (bucket, ids, ns, counts, keys), and heavy ones of 8 bytes apart.
+
+    Ids rise within a blob and go as differences, so that a document costs a bucket a few bytes besides its shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _sets(((b.filter(pa.compute.is_valid(b.column(0)))) for b in batches), n):
-            once: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
-            for i, s in held:
-                if len(s) and ((d := _digest(s)) not in once or i < once[d][0]):
-                    once[d] = i, s
+            once = sorted(((i, own) for i, own in held if len(own)), key=lambda x: x[0])
             if not once:
                 continue
-            ids = np.array([i for i, _ in once.values()], np.int64)
-            sizes = np.array([len(s) for _, s in once.values()], np.int32)
-            digests = np.array([a for a, _ in once], np.int64)
-            keys, owner = np.concatenate([s for _, s in once.values()]), np.repeat(np.arange(len(ids)), sizes)
+            ids = np.array([i for i, _ in once], np.int64)
+            sizes = np.array([len(own) for _, own in once], np.int32)
+            keys, owner = np.concatenate([own for _, own in once]), np.repeat(np.arange(len(ids)), sizes)
             often = np.isin(keys, heavy)
-            place = np.where(often, digests[owner].view(np.uint64) % np.uint64(buckets), textkernel.mix(keys) % np.uint64(buckets)).astype(np.int64)
-            rows: dict[str, list] = {k: [] for k in ("bucket", "heavy", "ids", "ns", "digests", "counts", "keys")}
+            place = np.where(often, textkernel.mix(ids.view(np.uint64))[owner] % np.uint64(buckets), textkernel.mix(keys) % np.uint64(buckets)).astype(np.int64)
+            rows: dict[str, list] = {k: [] for k in ("bucket", "heavy", "ids", "ns", "counts", "keys")}
             order = np.lexsort((owner, often, place))
             group = place[order] * 2 + often[order]
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
@@ -108,21 +122,13 @@ def _shred(n: int, buckets: int, heavy: np.ndarray):
                 own = keys[part]
                 is_heavy = bool(group[a] % 2)
                 packed = own if is_heavy else np.ascontiguousarray(own.view(np.uint8).reshape(-1, 8)[:, :6])
-                for k, v in zip(rows, (int(group[a] // 2), is_heavy, ids[whose].tobytes(), sizes[whose].tobytes(), digests[whose].tobytes(), counts.astype(np.int32).tobytes(), packed.tobytes()), strict=True):
+                for k, v in zip(rows, (int(group[a] // 2), is_heavy, _planes(np.diff(ids[whose], prepend=0)), _planes(sizes[whose]), _planes(counts.astype(np.int32)), packed.tobytes()), strict=True):
                     rows[k].append(v)
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("bucket", pa.int64()), ("heavy", pa.bool_()), *((k, pa.binary()) for k in ("ids", "ns", "digests", "counts", "keys"))]))
+            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("bucket", pa.int64()), ("heavy", pa.bool_()), *((k, pa.binary()) for k in ("ids", "ns", "counts", "keys"))]))
 
     return run
 
 
-def _merge(ids: np.ndarray, digests: np.ndarray) -> np.ndarray:
-    """Which entries to keep: of each digest those of its smallest id, once."""
-    order = np.lexsort((ids, digests))
-    keep = np.zeros(len(ids), bool)
-    keep[order[np.concatenate([[True], digests[order][1:] != digests[order][:-1]])]] = True
-    return keep
-
-
 def _shared(groups: int):
     """Of a bucket, the shingles that two texts have or more, in blobs by groups of documents: rows (grp, ids, ns, counts,
     keys, dfs); heavy shingles have df 255. There are as many groups as buckets, and no more rows than shingles."""
@@ -133,8 +139,7 @@ def _shared(groups: int):
             part = group[group["heavy"] == is_heavy]
             if not len(part):
                 continue
-            ids, ns = (np.frombuffer(b"".join(part[k]), t) for k, t in (("ids", np.int64), ("ns", np.int32)))
-            digests, counts = (np.frombuffer(b"".join(part[k]), t) for k, t in (("digests", np.int64), ("counts", np.int32)))
+            ids, ns, counts = _ids(part["ids"]), _values(part["ns"], np.int32), _values(part["counts"], np.int32)
             raw = b"".join(part["keys"])
             if is_heavy:
                 keys = np.frombuffer(raw, np.uint64)
@@ -142,10 +147,15 @@ def _shared(groups: int):
                 wide = np.zeros((len(raw) // 6, 8), np.uint8)
                 wide[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
                 keys = wide.view(np.uint64)[:, 0]
-            keep = _merge(ids, digests)
+            order = np.argsort(ids, kind="stable")
+            rank = np.empty(len(ids), np.int64)
+            rank[order] = np.arange(len(ids))
+            # A row that repeats counts once.
+            keep = np.zeros(len(ids), bool)
+            keep[np.unique(ids, return_index=True)[1]] = True
             owner = np.repeat(np.arange(len(ids)), counts)
             mask = keep[owner]
-            owner, keys = owner[mask], keys[mask]
+            owner, keys, ids, ns = rank[owner[mask]], keys[mask], ids[order], ns[order]
             if is_heavy:
                 dfs = np.full(len(keys), 255, np.uint8)
             else:
@@ -165,7 +175,7 @@ def _shared(groups: int):
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(grp)) + 1, [len(grp)]]) if len(grp) else [0]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 whose, counts = np.unique(owner[a:b], return_counts=True)
-                out.append((int(grp[a]), ids[whose].tobytes(), ns[whose].tobytes(), counts.astype(np.int32).tobytes(), keys[a:b].tobytes(), dfs[a:b].tobytes()))
+                out.append((int(grp[a]), _planes(np.diff(ids[whose], prepend=0)), _planes(ns[whose]), _planes(counts.astype(np.int32)), keys[a:b].tobytes(), dfs[a:b].tobytes()))
         return pd.DataFrame(out, columns=["grp", "ids", "ns", "counts", "keys", "dfs"])
 
     return run
@@ -176,7 +186,8 @@ def _regions(pct: int):
     common these are, and those whose regions the document is replicated to."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        ids, ns, counts, keys, dfs = (np.frombuffer(b"".join(group[k]), t) for k, t in (("ids", np.int64), ("ns", np.int32), ("counts", np.int32), ("keys", np.uint64), ("dfs", np.uint8)))
+        ids, ns, counts = _ids(group["ids"]), _values(group["ns"], np.int32), _values(group["counts"], np.int32)
+        keys, dfs = (np.frombuffer(b"".join(group[k]), t) for k, t in (("keys", np.uint64), ("dfs", np.uint8)))
         docs, size = np.repeat(ids, counts), np.repeat(ns, counts)
         order = np.argsort(docs, kind="stable")
         docs, size, keys, dfs = docs[order], size[order], keys[order], dfs[order]
@@ -209,8 +220,8 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return cut(both.mapInArrow(_distances, "p long, x long, common long, total long"), "distances")
 
 
-def _links(sets: DataFrame, pct: int) -> DataFrame:
-    """Links ``a, b`` that connect all documents at J >= pct/100, though not all of them."""
+def _roots(sets: DataFrame, pct: int) -> DataFrame:
+    """``node, root`` of the documents that have a partner at J >= pct/100: the components of enough of their links."""
 
     def fits(x: str, y: str) -> Column:
         """Whether J can reach the threshold by shingles that come no earlier than the region's: of n, each has ``had``
@@ -226,10 +237,9 @@ def _links(sets: DataFrame, pct: int) -> DataFrame:
     known = _measured(members.filter(fits("x", "p")).select(F.col("p.doc_id").alias("p"), F.col("x.doc_id").alias("x")).distinct(), sets)
     links = known.filter(near).select(F.col("p").alias("a"), F.col("x").alias("b"))
     far = known.select(F.col("p").alias("_p"), F.col("x").alias("_x"), (1 - F.col("common") / F.col("total")).alias("d"))
-    rest = members.filter("size > 2").select("s", F.col("p.doc_id").alias("r"), "x").drop("size")
-    most = NEXT_PIVOTS
+    roots = cut(components(links), "roots")
+    rest, most = members.filter("size > 2").select("s", F.col("p.doc_id").alias("r"), "x"), NEXT_PIVOTS
     while True:
-        roots = cut(components(links), "roots")
         named = rest.join(roots, F.col("x.doc_id") == F.col("node"), "left").select("s", "r", "x", F.coalesce("root", "x.doc_id").alias("root"))
         # Regions of several components, with their largest one.
         sizes = named.groupBy("s", "root").agg(F.count(F.lit(1)).alias("k"))
@@ -237,19 +247,22 @@ def _links(sets: DataFrame, pct: int) -> DataFrame:
         rest = named.join(mixed, "s").join(far, (F.col("r") == F.col("_p")) & (F.col("x.doc_id") == F.col("_x")), "left").drop("_p", "_x")
         rest = cut(rest, "rest")
         if not rest.limit(1).count():
-            return links
+            return roots
         ranked = rest.filter("root <> main").withColumn("rank", F.row_number().over(Window.partitionBy("s").orderBy("x")))
-        pivots = ranked.filter(F.col("rank") <= most).select("s", F.col("x").alias("q"), F.col("root").alias("root_q"), F.col("d").alias("d_q"))
+        ranked = cut(ranked.select("s", F.col("x").alias("q"), F.col("root").alias("root_q"), F.col("d").alias("d_q"), "rank"), "ranked")
+        pivots = ranked.filter(F.col("rank") <= most).drop("rank")
         # A pair of two such documents comes up once; the window is that of the region's first pivot.
         once = (F.col("root") == F.col("main")) | (F.col("q") < F.col("x"))
         within = F.coalesce(F.abs(F.col("d") - F.col("d_q")) <= 1 - pct / 100 + 1e-9, F.lit(True))
         todo = rest.join(pivots, "s").filter((F.col("root") != F.col("root_q")) & once & within & fits("x", "q"))
-        found = _measured(todo.select(F.col("q.doc_id").alias("p"), F.col("x.doc_id").alias("x")).distinct(), sets)
-        links = links.unionByName(found.filter(near).select(F.col("p").alias("a"), F.col("x").alias("b")))
-        done = pivots.select("s", F.col("q.doc_id").alias("_done"))
-        left = rest.alias("l").join(done.alias("r2"), (F.col("l.s") == F.col("r2.s")) & (F.col("l.x.doc_id") == F.col("_done")), "left_anti")
-        rest = left.select("s", "r", "x")
-        most *= 16
+        found = _measured(todo.select(F.col("q.doc_id").alias("p"), F.col("x.doc_id").alias("x")).distinct(), sets).filter(near)
+        if found.limit(1).count():
+            known_links = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = cut(components(known_links.unionByName(found.select(F.col("p").alias("a"), F.col("x").alias("b")))), "roots")
+        if not ranked.filter(F.col("rank") > most).limit(1).count():
+            return roots
+        left = rest.alias("l").join(pivots.alias("r2"), (F.col("l.s") == F.col("r2.s")) & (F.col("l.x.doc_id") == F.col("r2.q.doc_id")), "left_anti")
+        rest, most = left.select("s", "r", "x"), most * 16
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = 5, pct: int = 75) -> DataFrame:
@@ -265,24 +278,30 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     buckets = max(12, (total or 0) // BUCKET + 1)
     often = seen.filter("key is not null").groupBy("key").agg(F.sum("hits").alias("hits")).filter(F.col("hits") >= max(HEAVY, rows // HEAVY))
     heavy = np.sort(often.select("key").toPandas()["key"].to_numpy(np.int64).view(np.uint64))
-    blobs = docs.mapInArrow(_shred(n, buckets, heavy), "bucket long, heavy boolean, ids binary, ns binary, digests binary, counts binary, keys binary")
+    # Equal sets are one class; only its smallest document goes on.
+    classes = marks.filter("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("k"))
+    classes = cut(classes, "classes")
+    copies = marks.join(classes.filter("k > 1").drop("k"), ["d1", "d2", "n"]).filter("doc_id <> rep").select("doc_id").distinct()
+    own = sized_join(docs, cut(copies, "copies"), "doc_id", "left_anti")
+    blobs = own.mapInArrow(_shred(n, buckets, heavy), "bucket long, heavy boolean, ids binary, ns binary, counts binary, keys binary")
     shared = blobs.groupBy("bucket").applyInPandas(_shared(buckets), "grp long, ids binary, ns binary, counts binary, keys binary, dfs binary")
     sets = shared.groupBy("grp").applyInPandas(_regions(pct), "doc_id long, n long, had long, central long, keys binary, pivots array<long>")
     sets = cut(sets, "sets")
-    roots = cut(components(_links(sets, pct)), "components")
-    classes = marks.filter("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
-    named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "n", F.coalesce("root", "rep").alias("root"))
+    roots = _roots(sets, pct)
+    # Only sets that several rows have, or that have a partner, say anything; written, so that Spark can split the join.
+    named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").filter("k > 1 or root <> rep")
+    named = cut(named.select("d1", "d2", "n", F.coalesce("root", "rep").alias("root")), "named")
     out = marks.join(named, ["d1", "d2", "n"], "left")
-    own = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
+    own = F.when((F.col("n") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.coalesce("root", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", pct: int = 75) -> DataFrame:
     """``docs`` with one document of each component: that of the smallest id, once if its row repeats. Rows without an id
-    stay. A column called ``_kept`` must not be there."""
-    kept = jaccard_components(docs, text, doc_id, pct=pct).filter("component_id = doc_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
-    kept = cut(kept, "kept")
-    first = docs.join(kept, F.col(doc_id) == F.col("_kept"), "left_semi")
-    if kept.filter("_rows > 1").limit(1).count():
-        first = first.dropDuplicates([doc_id])
-    return first.unionByName(docs.filter(F.col(doc_id).isNull()))
+    stay."""
+    found = cut(jaccard_components(docs, text, doc_id, pct=pct).select("doc_id", "component_id"), "found")
+    gone = cut(found.filter("component_id <> doc_id").select(F.col("doc_id").alias(doc_id)).distinct(), "gone")
+    left = sized_join(docs, gone, doc_id, "left_anti")
+    if found.filter("component_id = doc_id").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        left = left.filter(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).unionByName(left.filter(F.col(doc_id).isNull()))
+    return left.select(*docs.columns)
