@@ -143,7 +143,10 @@ def quality_cascade(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
     Null and empty texts have no words, so the base fails. Rows are judged each by itself. The sample holds the ``sample``
     texts with the smallest hashes, of 20,000 characters at most, and serves for the order of rules alone.
     """
-    near = docs.select(text).filter(F.length(text).between(1, 20_000)).orderBy(F.xxhash64(text)).limit(sample)
+    near = docs.select(text).filter(F.length(text).between(1, 20_000))
+    # A share of the hashes that holds about twice the sample, so that tasks send a few texts each, however many there are.
+    hashed = F.pmod(F.xxhash64(text), F.lit(1 << 40))
+    near = near.filter(hashed < min(1 << 40, (sample * 2 << 40) // max(near.count(), 1))).orderBy(hashed, text).limit(sample)
     order = [name for name, _, _ in ordered_rules([r[0] for r in near.collect()])]
     kinds = dict(docs.dtypes)
     counts = ", ".join(f"{c} long" for c in COUNTS)
