@@ -3,6 +3,11 @@
 Every line of a text is normalised (ASCII lower case, other characters than letters and digits to one space) and compared
 with each licence template. Dice is 2 * common / (a + b) over distinct bigrams, so a template of b bigrams can reach the
 threshold t only for lines of b * t / (2 - t) to b * (2 - t) / t bigrams: templates outside these bounds are skipped.
+
+A notice that is wrapped, or that shares its line with other words, is found by windows over the words of all lines. A match
+has b * t / (2 - t) bigrams in common at least, and trimming a window to its first and last common bigram never lowers Dice,
+so only windows between two common bigrams are compared, of the sizes that the bounds allow. By the same bound, a text that
+has none of a few words of the templates (``gate_words``) has no such window, and is not searched.
 Nothing is shuffled: the plan is one scan and one projection at any size.
 """
 
@@ -28,6 +33,9 @@ TEMPLATES = [
     ("proprietary", "All rights reserved."),
 ]
 
+#: Words that any English text has; they are gate words only where no others will do.
+COMMON = frozenset("a and any are by in is may not of or that the this to under with without you".split())
+
 
 def _normalised(line: str) -> list[str]:
     return "".join(c if c.isascii() and c.isalnum() else " " for c in line.lower()).split()
@@ -43,16 +51,81 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _bigrams(line: Column) -> Column:
-    words = F.split(F.trim(F.regexp_replace(F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " ")), " ")
-    return F.array_distinct(_let(words, lambda w: F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.size(w)), lambda a, b: F.concat(a, F.lit(" "), b))))
+def gate_words(threshold_pct: int) -> list[str]:
+    """Words of which every text that reaches the threshold has one: so many of a template's bigrams hold them that the others are too few."""
+    chosen: list[str] = []
+    for _, grams in sorted(template_bigrams(), key=lambda x: len(x[1])):
+        rest = [g.split() for g in grams if not set(g.split()) & set(chosen)]
+        while len(rest) >= _need(len(grams), threshold_pct):
+            words = sorted({w for g in rest for w in g})
+            chosen.append(max(words, key=lambda w: (w not in COMMON, sum(w in g for g in rest), len(w))))
+            rest = [g for g in rest if chosen[-1] not in g]
+    return chosen
+
+
+def _need(size: int, t: int) -> int:
+    """The bigrams that a match has in common with a template of ``size``, at least."""
+    return max(1, -(-size * t // (200 - t)))
+
+
+def _words(line: Column) -> Column:
+    folded = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.array_remove(F.split(F.trim(F.regexp_replace(folded, "[^a-z0-9]+", " ")), " "), "")
+
+
+def _pairs(w: Column) -> Column:
+    return F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.size(w)), lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def _windows(pairs: Column, t: int) -> Column:
+    """``dice, n, k, s, e``: for each template and first bigram, the best window that reaches the threshold; n are in common, s and -e count bigrams from 0."""
+    made = template_bigrams()
+    every = sorted({x for _, b in made for x in b})
+
+    def of(k: int, near: Column) -> Column:
+        grams, need = made[k][1], _need(len(made[k][1]), t)
+        # A template's own repeats don't make it too long.
+        most = len(grams) * (200 - t) // max(t, 1) + len(_normalised(TEMPLATES[k][1])) - 1 - len(grams)
+        form, b = F.array(*[F.lit(x) for x in grams]), len(grams)
+
+        def dice(s: Column, e: Column) -> Column:
+            return _let(F.array_distinct(F.slice(pairs, s + 1, e - s + 1)), lambda a: _let(F.size(F.array_intersect(a, form)), lambda n: F.struct((F.lit(2.0) * n / (F.size(a) + b)).alias("dice"), n.alias("n"), F.lit(-k).alias("k"), s.alias("s"), (-e).alias("e"))))
+
+        def from_each(at: Column) -> Column:
+            def best(i: Column) -> Column:
+                ends = F.filter(F.slice(at, i + need - 1, max(most - need + 1, 1)), lambda e: e - F.get(at, i - 1) < most)
+                return F.array_max(F.transform(ends, lambda e: dice(F.get(at, i - 1), e)))
+
+            found = F.transform(F.sequence(F.lit(1), F.size(at) - need + 1), best)
+            return F.when(F.size(at) >= need, F.filter(found, lambda x: x["dice"] * 100 >= t))
+
+        return F.coalesce(_let(F.filter(near, lambda i: F.array_contains(form, F.get(pairs, i))), from_each), F.array().cast("array<struct<dice:double,n:int,k:int,s:int,e:int>>"))
+
+    near = F.when(F.size(pairs) > 0, F.filter(F.sequence(F.lit(0), F.size(pairs) - 1), lambda i: F.get(pairs, i).isin(every)))
+    return _let(near, lambda n: F.concat(*[of(k, n) for k in range(len(made))]))
+
+
+def _chosen(windows: Column, line: Column, own: Column) -> Column:
+    """The windows that say more than the lines they touch, best first, without those that overlap a better one: one with more in common."""
+
+    def says_more(x: Column) -> Column:
+        first, last = F.get(line, x["s"]), F.get(line, -x["e"] + 1)
+        inside = (first == last) & F.get(own, first).isNotNull()
+        return ~inside & ~F.exists(F.slice(own, first + 1, last - first + 1), lambda o: o.isNotNull() & (o["dice"] >= x["dice"]))
+
+    most = F.transform(F.filter(windows, says_more), lambda x: F.struct(x["n"].alias("n"), x.alias("x")))
+    best_first = F.transform(F.reverse(F.array_sort(most)), lambda y: y["x"])
+    apart = lambda x, y: (-x["e"] + 1 < y["s"]) | (-y["e"] + 1 < x["s"])
+    return F.aggregate(best_first, F.array().cast("array<struct<dice:double,n:int,k:int,s:int,e:int>>"), lambda acc, x: F.when(F.forall(acc, lambda y: apart(x, y)), F.concat(acc, F.array(x))).otherwise(acc))
 
 
 def license_scan(docs: DataFrame, text: str = "text", threshold_pct: int = 80) -> DataFrame:
-    """``docs`` with ``license_id`` (of the best line; ties: the first template), ``dice`` and ``n_license_lines``.
+    """``docs`` with ``license_id`` (of the best line or window; ties: the first template), ``dice`` and ``n_license_lines``.
 
-    Null and empty texts and texts without a matching line get null, 0.0 and 0. Each row is judged by itself, so repeated
-    rows and ties in ids don't matter; columns that are called like the results are replaced.
+    Lines count that match as a whole, and those that a matching window touches. A window inside a line that matches as a
+    whole is not asked, nor one that is no better than such a line it touches. Null and empty texts and texts without a
+    match get null, 0.0 and 0. Each row is judged by itself, so repeated rows and ties in ids don't matter; columns that
+    are called like the results are replaced.
     """
     t = threshold_pct
     made = template_bigrams()
@@ -63,9 +136,19 @@ def license_scan(docs: DataFrame, text: str = "text", threshold_pct: int = 80) -
         scored = F.transform(fits, lambda f: F.struct((F.lit(2.0) * F.size(F.array_intersect(a, f["b"])) / (F.size(a) + F.size(f["b"]))).alias("dice"), f["k"].alias("k")))
         return F.array_max(F.filter(scored, lambda s: s["dice"] * 100 >= t))
 
-    lines = F.split(F.col(text), "\n")
-    found = F.filter(F.transform(lines, lambda x: _let(_bigrams(x), best)), lambda s: s.isNotNull())
     names = F.array(*[F.lit(k) for k, _ in made])
-    top = F.array_max("_found")
-    out = docs.drop("license_id", "dice", "n_license_lines").withColumn("_found", found)
-    return out.withColumns({"license_id": F.when(F.size("_found") > 0, F.get(names, -top["k"])), "dice": F.coalesce(F.round(top["dice"], 6), F.lit(0.0)), "n_license_lines": F.coalesce(F.greatest(F.size("_found"), F.lit(0)), F.lit(0)).cast("long")}).drop("_found")
+    out = docs.drop("license_id", "dice", "n_license_lines").withColumn("_words", F.transform(F.split(F.col(text), "\n"), _words))
+    out = out.withColumn("_own", F.transform("_words", lambda w: _let(F.array_distinct(_pairs(w)), best)))
+    flat = F.flatten("_words")
+    gate = F.arrays_overlap(flat, F.array(*[F.lit(x) for x in gate_words(t)]))
+    line = F.flatten(F.transform("_words", lambda w, i: F.array_repeat(i, F.size(w))))
+    out = out.withColumn("_at", F.when(gate, F.struct(_pairs(flat).alias("pairs"), line.alias("line")))).drop("_words")
+    # The outer field access is bound once, as each use would copy the array.
+    search = _let(F.col("_at"), lambda x: _let(x["pairs"], lambda p: _chosen(_windows(p, t), x["line"], F.col("_own"))))
+    out = out.withColumn("_more", F.when(F.col("_at").isNotNull(), search))
+    own = F.filter("_own", lambda s: s.isNotNull())
+    alone = F.filter(F.transform("_own", lambda s, i: F.when(s.isNotNull(), i)), lambda i: i.isNotNull())
+    touched = F.flatten(F.transform("_more", lambda x: F.slice(F.col("_at.line"), x["s"] + 1, -x["e"] - x["s"] + 2)))
+    tops = F.concat(own, F.coalesce(F.transform("_more", lambda x: F.struct(x["dice"].alias("dice"), x["k"].alias("k"))), F.array().cast("array<struct<dice:double,k:int>>")))
+    out = out.withColumns({"_found": F.array_max(tops), "_lines": F.size(F.array_distinct(F.concat(alone, F.coalesce(touched, F.array().cast("array<int>")))))})
+    return out.withColumns({"license_id": F.when(F.col("_found").isNotNull(), F.get(names, -F.col("_found.k"))), "dice": F.coalesce(F.round("_found.dice", 6), F.lit(0.0)), "n_license_lines": F.coalesce(F.greatest("_lines", F.lit(0)), F.lit(0)).cast("long")}).drop("_own", "_at", "_more", "_found", "_lines")

@@ -130,6 +130,19 @@ def test_license_scan(docs, empty):
     assert license_scan.license_scan(empty).count() == 0
 
 
+def test_license_scan_finds_wrapped_and_shared_lines(spark):
+    wrapped = {}
+    for name, text in license_scan.TEMPLATES:
+        words = text.split()
+        wrapped.setdefault(name, []).append("\n".join("# " + " ".join(words[k : k + 6]) for k in range(0, len(words), 6)))
+    cases = [(name, f"Some code\n{x}\nmore words here", len(x.split("\n"))) for name, texts in wrapped.items() for x in texts]
+    cases += [("proprietary", "Copyright (c) 2020 Example Ltd. All rights reserved.", 1), ("MIT", "This tool is open source. Released under the MIT License. Enjoy", 1)]
+    cases += [(None, "all the rights were reserved by the software license of the public domain", 0), (None, "the license\nunder the terms", 0), ("MIT", "Released under the MIT License.\nReleased under\nthe MIT License.", 3)]
+    docs = spark.createDataFrame([(k, x) for k, (_, x, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: (r.license_id, r.n_license_lines) for r in license_scan.license_scan(docs).collect()}
+    assert got == {k: (name, n) for k, (name, _, n) in enumerate(cases)}
+
+
 def test_pii(docs, empty, spark):
     got = pii.find_pii(docs)
     digest = pii.digest(got)
