@@ -174,12 +174,12 @@ amounts as (select o_orderkey k, cast(o_orderdate as date) d, ['EUR', 'USD', 'GB
 """
 
 
-def _fx(spark, sf):
+def _fx(spark, sf, every=False):
     orders = spark.read.parquet(f"{sf}/orders.parquet")
     pick = lambda names: F.get(F.array(*map(F.lit, names)), (F.col("o_orderkey") % len(names)).cast("int")).alias("CURRENCY")
     day = F.to_date("o_orderdate").alias(DATE)
     rates = orders.groupBy(day, pick(("EUR", "GBP", "JPY"))).agg((F.avg("o_totalprice") / 100000).alias(fx.RATE))
-    amounts = orders.filter("o_orderkey % 7 < 3").select("o_orderkey", day, pick(("EUR", "USD", "GBP", "CHF")), F.col("o_totalprice").alias("AMOUNT"))
+    amounts = (orders if every else orders.filter("o_orderkey % 7 < 3")).select("o_orderkey", day, pick(("EUR", "USD", "GBP", "CHF")), F.col("o_totalprice").alias("AMOUNT"))
     return amounts, rates
 
 
@@ -195,6 +195,25 @@ def fx_convert_latest(spark, sf):
     return fx.to_usd_latest(amounts, rates, "AMOUNT").select("o_orderkey", F.round("AMOUNT", 2).alias("AMOUNT"))
 
 
+_FX_ALL_SQL = """with rates as (select cast(o_orderdate as date) d, ['EUR', 'GBP', 'JPY'][1 + cast(o_orderkey % 3 as integer)] c, avg(o_totalprice) / 100000 as rate from orders group by 1, 2),
+amounts as (select o_orderkey k, cast(o_orderdate as date) d, ['EUR', 'USD', 'GBP', 'CHF'][1 + cast(o_orderkey % 4 as integer)] c, o_totalprice x from orders)
+"""
+
+
+@query(_FX_ALL_SQL + """select k as o_orderkey, round(x * case when amounts.c = 'USD' then 1.0::double else coalesce(rate, 1.0::double) end, 2) as AMOUNT from amounts left join rates on rates.d = amounts.d and rates.c = amounts.c""")
+def fx_convert_dated_all(spark, sf):
+    """Every order; ``fx_convert_dated`` has those that its SQL takes."""
+    amounts, rates = _fx(spark, sf, every=True)
+    return fx.to_usd_dated(amounts, rates, "AMOUNT").select("o_orderkey", F.round("AMOUNT", 2).alias("AMOUNT"))
+
+
+@query(_FX_ALL_SQL + """select k as o_orderkey, round(x * case when amounts.c = 'USD' then 1.0::double else coalesce(rate, 1.0::double) end, 2) as AMOUNT from amounts left join (select c, arg_max(rate, d) rate from rates group by 1) r on r.c = amounts.c""")
+def fx_convert_latest_all(spark, sf):
+    """Every order; ``fx_convert_latest`` has those that its SQL takes."""
+    amounts, rates = _fx(spark, sf, every=True)
+    return fx.to_usd_latest(amounts, rates, "AMOUNT").select("o_orderkey", F.round("AMOUNT", 2).alias("AMOUNT"))
+
+
 def _house_with(spark, sf, **tables) -> Warehouse:
     house = _warehouse(spark, sf)
     house.tables |= tables
