@@ -12,15 +12,12 @@ from pyspark.sql import functions as F
 from quillon.llm import decontam, jaccard_join, langid, line_dedup, mixing
 from quillon.plans.lineage import cut
 
-#: Texts whose language is less sure than this go, as do those without a letter.
-LEAST_SCORE = 0.4
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents without a language."""
     net = langid.train(docs.filter(~langid.held_out()))
     told = langid.identify(docs, net, keep=tuple(docs.columns))
-    return told.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    return told.filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

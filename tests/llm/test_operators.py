@@ -383,6 +383,14 @@ def test_pipeline(spark, docs, empty, tmp_path):
     assert corpus_pipeline.mix_sources(spark, empty, str(tmp_path)).count() == 0
 
 
+def test_pipeline_keeps_every_text_with_a_language(spark, docs, tmp_path, monkeypatch):
+    unsure = lambda df, net, keep: df.select(*keep).withColumns({"lang_pred": F.when(F.col("text").rlike("[a-z]"), "en").otherwise("und"), "score": F.lit(0.3)})
+    monkeypatch.setattr(langid, "train", lambda df: None)
+    monkeypatch.setattr(langid, "identify", unsure)
+    kept = corpus_pipeline.language_id(spark, docs.select("doc_id", "text", "lang", "source", "n_chars"), str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(d[0] for d in DOCS if d[1] and any("a" <= c <= "z" for c in d[1]))
+
+
 def test_entries_have_contract_columns():
     names = entry.queries()
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and set(oracles.SQL) <= set(names)
