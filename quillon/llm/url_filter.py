@@ -90,22 +90,22 @@ class Trees:
     def _binned(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(e, x[:, k], "right") for k, e in enumerate(self.edges)], 1).astype(np.int64) if len(self.edges) else np.zeros((len(x), 0), np.int64)
 
-    def _grow(self, x: np.ndarray, g: np.ndarray, h: np.ndarray, rows: np.ndarray, depth: int):
+    def _grow(self, x: np.ndarray, g: np.ndarray, h: np.ndarray, n: np.ndarray, rows: np.ndarray, depth: int):
         leaf = float(-g[rows].sum() / (h[rows].sum() + 1.0))
-        if not depth or len(rows) < 2 * LEAST:
+        if not depth or n[rows].sum() < 2 * LEAST:
             return leaf
         best = (1e-6, None, None)
         whole = g[rows].sum() ** 2 / (h[rows].sum() + 1.0)
         for k in range(x.shape[1]):
-            gs, hs, ns = (np.bincount(x[rows, k], w, BINS + 1).cumsum()[:-1] for w in (g[rows], h[rows], None))
+            gs, hs, ns = (np.bincount(x[rows, k], w, BINS + 1).cumsum()[:-1] for w in (g[rows], h[rows], n[rows]))
             gr, hr = g[rows].sum() - gs, h[rows].sum() - hs
-            gain = np.where((ns >= LEAST) & (len(rows) - ns >= LEAST), gs**2 / (hs + 1.0) + gr**2 / (hr + 1.0) - whole, -1)
+            gain = np.where((ns >= LEAST) & (n[rows].sum() - ns >= LEAST), gs**2 / (hs + 1.0) + gr**2 / (hr + 1.0) - whole, -1)
             if gain.max() > best[0]:
                 best = (float(gain.max()), k, int(gain.argmax()))
         if best[1] is None:
             return leaf
         left = x[rows, best[1]] <= best[2]
-        return [best[1], best[2], self._grow(x, g, h, rows[left], depth - 1), self._grow(x, g, h, rows[~left], depth - 1)]
+        return [best[1], best[2], self._grow(x, g, h, n, rows[left], depth - 1), self._grow(x, g, h, n, rows[~left], depth - 1)]
 
     def _leaves(self, node, x: np.ndarray) -> np.ndarray:
         if not isinstance(node, list):
@@ -115,14 +115,16 @@ class Trees:
         out[left], out[~left] = self._leaves(node[2], x[left]), self._leaves(node[3], x[~left])
         return out
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> Trees:
-        share = min(max(y.mean(), 1e-3), 1 - 1e-3)
+    def fit(self, x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> Trees:
+        """``n``: the rows that each one stands for, 1 if not given."""
+        n = np.ones(len(y)) if n is None else n
+        share = min(max(np.average(y, weights=n), 1e-3), 1 - 1e-3)
         self.start = float(np.log(share / (1 - share)))
         self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
         binned, score = self._binned(x), np.full(len(y), self.start)
         for _ in range(TREES):
             p = 1 / (1 + np.exp(-score))
-            tree = self._grow(binned, p - y, p * (1 - p), np.arange(len(y)), DEPTH)
+            tree = self._grow(binned, n * (p - y), n * p * (1 - p), n, np.arange(len(y)), DEPTH)
             self.trees.append(tree)
             score += RATE * self._leaves(tree, binned)
         return self
@@ -154,13 +156,22 @@ def train(labelled: DataFrame, url: str = "url", label: str = "verdict", sample:
     blocked = np.full(SUFFIXES, mean)
     for r in counts:
         blocked[r["class"]] = (r["blocked"] + 5 * mean) / (r["n"] + 5)
-    # Each URL counts in two classes. A share of the hashes holds about twice the sample, so tasks send few rows each.
-    hashed, total = F.pmod(F.xxhash64("url"), F.lit(1 << 40)), sum(r["n"] for r in counts) // 2
-    picked = rows.filter(hashed < min(1 << 40, (sample * 2 << 40) // total)).orderBy(hashed, "url").limit(sample).collect()
-    if not picked:
-        return None
+    # A share of the hashes holds about twice the sample of distinct URLs, so tasks send few each; the count is within some
+    # per cent. A URL weighs as much as it has rows.
+    hashed = F.pmod(F.xxhash64("url"), F.lit(1 << 40))
+    distinct = max(rows.agg(F.approx_count_distinct(hashed)).first()[0], 1)
+
+    def smallest(below: int) -> list:
+        some = rows.filter(hashed < below).groupBy("url", "blocked").agg(F.count(F.lit(1)).alias("n"))
+        return some.orderBy(hashed, "url", "blocked").limit(sample).collect()
+
+    share = min(1 << 40, (sample * 2 << 40) // distinct)
+    picked = smallest(share)
+    if len(picked) < sample and share < 1 << 40:
+        picked = smallest(1 << 40)
     x = np.array([features(r["url"], blocked) for r in picked], float)
-    return Trees().fit(x, np.array([r["blocked"] for r in picked], float)), blocked
+    y, n = (np.array([r[c] for r in picked], float) for c in ("blocked", "n"))
+    return Trees().fit(x, y, n), blocked
 
 
 def _verdicts(model: tuple[Trees, np.ndarray] | None):

@@ -269,6 +269,15 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_url_sample_is_of_distinct_urls(spark):
+    urls = [(f"http://{'bad' if k % 2 else 'fine'}{k}.org/{k}", "block" if k % 2 else "allow") for k in range(25)]
+    labelled = spark.createDataFrame(urls * 400, "url string, verdict string")
+    trees, blocked = url_filter.train(labelled, sample=20)
+    x = np.array([url_filter.features(u, blocked) for u, _ in urls])
+    assert ((trees.score(x) >= 0.5) == [v == "block" for _, v in urls]).mean() >= 0.8
+    assert np.array_equal(url_filter.train(labelled, sample=25)[0].score(x), url_filter.train(labelled, sample=1000)[0].score(x))
+
+
 def test_trees_learn():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(3000, 5))
