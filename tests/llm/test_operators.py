@@ -1,6 +1,7 @@
 """The operators on planted cases: brute force, edge cases, and what must stay alone."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -164,6 +165,23 @@ def test_pii_random(spark):
     assert rows(got, "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == sorted(brute.personal(made + cards), key=str)
 
 
+@pytest.mark.parametrize("run", ["7", ".", "a", "+", "7-", "7 ", "+1 ", "(", "1.", "a.", "a@b.", "a@b.c ", "+12345678 ", "1.2.3.4 ", "A1", "-"])
+def test_pii_long_runs(spark, run):
+    """A million characters of one kind, alone and before and after real matches: the same spans as the plain patterns."""
+    long = (run * (1_000_000 // len(run) + 1))[:1_000_000]
+    made = [(0, long), (1, f"x@y.zz {long} 10.0.0.1 and 4111 1111 1111 1111"), (2, f"{long}\n+1 555 123 4567")]
+    got = pii.digest(pii.find_pii(spark.createDataFrame(made, "doc_id long, text string")))
+    began = time.monotonic()
+    found = {r.doc_id: r for r in got.collect()}
+    assert time.monotonic() - began < 30
+    few = [(k, x.replace(long, long[:600])) for k, x in made]
+    short = pii.digest(pii.find_pii(spark.createDataFrame(few, "doc_id long, text string")))
+    assert rows(short, "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == sorted(brute.personal(few), key=str)
+    ends = lambda r: [x.split(":")[0] for x in r.spans.split(",")][-3:]
+    if run in ("7", ".", "a", "(", "A1"):
+        assert ends(found[1]) == ["email", "ip", "card"] and found[2].n_phone >= 1
+
+
 def test_jaccard_join(docs, empty):
     want = dict((r[0], r) for r in brute.jaccard(texts()))
     got = rows(jaccard_join.jaccard_components(docs), "doc_id", "n_shingles", "component_id")
