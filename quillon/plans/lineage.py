@@ -31,11 +31,18 @@ def shared_dir(spark: SparkSession) -> str:
 _WRITTEN: list[str] = []
 
 
-def clear(spark: SparkSession) -> None:
-    """Delete the tables that ``cut`` has written; results that still read them must have been written first."""
+def written() -> list[str]:
+    """The tables that ``cut`` has written and ``clear`` has not deleted, in order."""
+    return list(_WRITTEN)
+
+
+def clear(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete the tables that ``cut`` has written, or those of ``paths``; results that still read them must have been written
+    first."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+    for written_path in written() if paths is None else paths:
+        _WRITTEN.remove(written_path)
+        path = jvm.org.apache.hadoop.fs.Path(written_path)
         path.getFileSystem(conf).delete(path, True)
 
 
