@@ -67,6 +67,7 @@ def _digest(own: np.ndarray) -> tuple[int, int]:
 def _signatures(n: int):
     """Rows (doc_id, n, d1, d2) of every document, and (key, hits) of shingles that several texts of a task have."""
 
+    @textkernel.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n", "d1", "d2", "key", "hits"]
         for held in _sets(batches, n):
@@ -102,6 +103,7 @@ def _shred(n: int, buckets: int, heavy: np.ndarray):
 
     Ids rise within a blob and go as differences, so that a document costs a bucket a few bytes besides its shingles."""
 
+    @textkernel.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _sets(((b.filter(pa.compute.is_valid(b.column(0)))) for b in batches), n):
             once = sorted(((i, own) for i, own in held if len(own)), key=lambda x: x[0])
@@ -205,6 +207,7 @@ def _regions(pct: int):
     return run
 
 
+@textkernel.released
 def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (p, x, common, total) of pairs with both sets."""
     for batch in batches:

@@ -4,8 +4,9 @@ A text's UTF-8 bytes are cut into windows of WINDOW bytes, all of them, the last
 several widths run over each window, the largest response of each filter is kept, and a linear layer gives a score for each
 language. A text's scores are the mean of its windows', weighed by their bytes; softmax turns them into the answer.
 
-Training takes a bounded sample: of each labelled language the PER_LANGUAGE texts with the smallest hashes, and WINDOWS
-windows spread over each. Prediction is one scan and one map over Arrow batches; nothing is shuffled.
+Training takes a bounded sample: of each labelled language the PER_LANGUAGE distinct texts with the smallest hashes, and
+WINDOWS windows spread over each; it goes to the driver, and grows with the number of languages alone. Prediction is one scan
+and one map over Arrow batches; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.llm import textkernel
+from quillon.plans.lineage import cut, sized_join
 
 WINDOW, EMBED, FILTERS, WIDTHS = 256, 6, 12, (2, 3, 4)
 #: The bound of the training sample, in texts of each language and windows of each text.
@@ -120,25 +122,28 @@ class ByteNet:
         return [self.langs[k] for k in best], prob[np.arange(len(best)), best]
 
 
-def training_sample(labelled: DataFrame, text: str, lang: str, doc_id: str, per_language: int = PER_LANGUAGE) -> list[tuple[str, list[str]]]:
-    """(language, pieces) of about ``per_language`` texts of each language: those whose hash lies under a share that the
-    language's count sets. Pieces are WINDOWS stretches of WINDOW characters, spread over the whole text."""
-    rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
-    if not counts:
-        return []
-    share = F.lit(0.0)
-    for k, n in counts.items():
-        share = F.when(F.col(lang) == k, F.lit(min(1.0, per_language / n))).otherwise(share)
-    hashed = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.col(text)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    step = F.greatest((F.length(text) / WINDOWS).cast("int"), F.lit(WINDOW))
-    pieces = F.filter(F.transform(F.sequence(F.lit(0), F.lit(WINDOWS - 1)), lambda k: F.substr(F.col(text), k * step + 1, F.lit(WINDOW))), lambda x: F.length(x) > 0)
-    return [(r[0], r[1]) for r in rows.filter(hashed < share).select(lang, pieces).orderBy(lang, F.xxhash64(text)).collect()]
-
-
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = PER_LANGUAGE) -> ByteNet | None:
-    """A network of the labels in ``labelled``; None if it has no labelled text with a letter."""
-    sample = training_sample(labelled, text, lang, doc_id, per_language)
+def training_sample(labelled: DataFrame, text: str, lang: str, per_language: int = PER_LANGUAGE) -> list[tuple[str, list[str]]]:
+    """(language, pieces) of the ``per_language`` distinct texts of each language with the smallest hashes, all if there are
+    fewer. Pieces are WINDOWS stretches of WINDOW characters, spread over the whole text.
+
+    A share of the hashes, from each language's approximate number of distinct texts, holds about twice the sample and bounds
+    what tasks send, whatever repeats; the ranking afterwards makes the sample exact.
+    """
+    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    hashed = F.xxhash64("text")
+    shares = rows.groupBy("lang").agg((F.lit(2.0 * per_language) / F.approx_count_distinct(hashed)).alias("share"))
+    step = F.greatest((F.length("text") / WINDOWS).cast("int"), F.lit(WINDOW))
+    pieces = F.filter(F.transform(F.sequence(F.lit(0), F.lit(WINDOWS - 1)), lambda k: F.substr(F.col("text"), k * step + 1, F.lit(WINDOW))), lambda x: F.length(x) > 0)
+    near = sized_join(rows, cut(shares, "languages"), "lang", "inner", "lang").withColumn("h", F.pmod(hashed, F.lit(1 << 40)))
+    some = near.filter(F.col("h") < F.col("share") * float(1 << 40)).groupBy("lang", "h").agg(F.min(pieces).alias("pieces"))
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("rank") <= per_language)
+    return [(r["lang"], r["pieces"]) for r in sorted(ranked.select("lang", "rank", "pieces").collect(), key=lambda r: (r["lang"], r["rank"]))]
+
+
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> ByteNet | None:
+    """A network of the labels in ``labelled``; None if it has no labelled text with a letter. Repeated rows and texts count
+    once, null labels and texts not at all; a long text gives as many windows as others, spread over its whole length."""
+    sample = training_sample(labelled, text, lang, per_language)
     if not sample:
         return None
     langs = sorted({k for k, _ in sample})
@@ -154,6 +159,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
 
 
 def _predict(net: ByteNet | None, text: str, keep: tuple[str, ...]):
+    @textkernel.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = np.array(batch.column(1).to_pylist(), bool)
@@ -162,7 +168,8 @@ def _predict(net: ByteNet | None, text: str, keep: tuple[str, ...]):
             else:
                 langs, scores = net.predict(batch.column(0))
             langs = [x if k else UNKNOWN for x, k in zip(langs, known, strict=True)]
-            kept = [batch.column(0) if k == text else batch.column(k) for k in keep]
+            others = iter(batch.columns[2:])
+            kept = [batch.column(0) if k == text else next(others) for k in keep]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(langs, pa.string()), pa.array(np.where(known, scores, 0.0))], names=[*keep, "lang_pred", "score"])
 
     return run
@@ -171,9 +178,12 @@ def _predict(net: ByteNet | None, text: str, keep: tuple[str, ...]):
 def identify(docs: DataFrame, net: ByteNet | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` with ``lang_pred`` and ``score``.
 
-    A text that is null or has no letter is ``und`` with score 0; so are all texts without a network. Rows are judged each
-    by itself; columns other than ``keep`` don't matter.
+    A text that is null or has no letter is ``und`` with score 0; so are all texts without a network. Texts are read whole,
+    a few windows at a time, however long they are. Rows are judged each by itself, repeated ones alike; of equal scores the
+    first language by name wins; an empty table gives none. Columns of ``keep`` that are called like the results are replaced;
+    others don't matter.
     """
+    keep = tuple(k for k in keep if k not in ("lang_pred", "score"))
     kinds = dict(docs.dtypes)
     letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     source = docs.select(F.col(text).alias("_text"), letter.alias("_letter"), *[k for k in keep if k != text])

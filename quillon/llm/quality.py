@@ -115,6 +115,7 @@ def ordered_rules(texts: list[str]) -> list[tuple[str, float, float]]:
 
 
 def _cascade(order: list[str]):
+    @textkernel.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(0)

@@ -18,6 +18,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillon.llm import textkernel
+
 #: The rules of the production query, verdict and host/path.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 #: The bound of the training sample, and the classes of suffix statistics.
@@ -175,6 +177,7 @@ def train(labelled: DataFrame, url: str = "url", label: str = "verdict", sample:
 
 
 def _verdicts(model: tuple[Trees, np.ndarray] | None):
+    @textkernel.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             urls = batch.column(0).to_pylist()
