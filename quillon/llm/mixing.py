@@ -3,7 +3,7 @@
 1. Documents are counted by (source, exact size); sources' totals and targets come from the counts.
 2. Each source takes all its documents ``floor(target / total)`` times. What is left of its target is split over its sizes:
    an equal share of each size's documents, rounded down, and a bounded-knapsack dynamic programme for the remainder. The
-   programme sees distinct sizes and their counts, never documents; its table is bounded by ``TABLE`` words.
+   programme sees distinct sizes and their counts, never documents; its table has ``TABLE`` words, whatever the texts' sizes.
 3. Of each (source, size), the documents with the smallest seeded hashes are selected.
 
 Scale: one map-side aggregate by (source, size, hash bucket), a table of distinct sizes for each source, and a join that
@@ -22,28 +22,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.llm import textkernel
-from quillon.plans.lineage import cut
+from quillon.plans.lineage import cut, sized_join
 
-#: Words that the dynamic programme's table covers at least; the largest size is covered twice in any case.
+#: Words that the dynamic programme's table covers.
 TABLE = 1 << 16
 BUCKETS = 256
 
 
-def _sizes(text: str, keep: tuple[str, ...]):
+def _sizes(kept: int):
+    @textkernel.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = [w.counts for w in textkernel.words(batch.column(0), hashed=False)]
-            kept = [batch.column(0) if k == text else batch.column(k) for k in keep]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(counts) if counts else [], pa.int64()), *kept], names=["size", *keep])
+            size = pa.array(np.concatenate(counts) if counts else [], pa.int64())
+            yield pa.RecordBatch.from_arrays([size, *batch.columns[1 - kept :]], names=["size", *batch.schema.names[1 - kept :]])
 
     return run
 
 
-def with_size(docs: DataFrame, text: str, *keep: str) -> DataFrame:
-    """``size`` (number of words; null: 0) and the columns ``keep``."""
-    kinds = dict(docs.dtypes)
-    rows = docs.select(F.col(text).alias("_text"), *[k for k in keep if k != text])
-    return rows.mapInArrow(_sizes(text, keep), ", ".join(["size long", *(f"`{k}` {kinds[k]}" for k in keep)]))
+def with_size(rows: DataFrame, text: str, drop: bool) -> DataFrame:
+    """``size`` (number of words; null: 0) and the columns of ``rows``, whose first is the text, without it if ``drop``."""
+    schema = ", ".join(["size long", *(f"`{k}` {kind}" for k, kind in rows.dtypes if k != text or not drop)])
+    return rows.mapInArrow(_sizes(int(not drop)), schema)
 
 
 def share_out(sizes: list[int], weights: list[float], words: float, most: float) -> list[float]:
@@ -62,45 +62,69 @@ def share_out(sizes: list[int], weights: list[float], words: float, most: float)
     return targets
 
 
-def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each size to take, ``counts`` at most, for a sum that is nearest to ``budget`` from below or
-    above within the programme's table."""
-    sizes, counts = sizes.astype(object), counts.astype(object)
-    total = int((sizes * counts).sum())
-    budget = min(max(int(budget), 0), total)
-    if not total:
-        return np.zeros(len(sizes), np.int64)
-    taken = counts * budget // total
-    left = budget - int((sizes * taken).sum())
-    # Large sizes first, down to what the table covers.
-    width = max(TABLE, 2 * int(max(sizes)))
-    for k in np.argsort(-sizes.astype(np.int64), kind="stable"):
-        if left <= width // 2:
-            break
-        more = min(int(counts[k] - taken[k]), (left - width // 2) // int(sizes[k]) if sizes[k] else 0)
-        taken[k] += more
-        left -= more * int(sizes[k])
-    # Which sums the rest can reach: a bit each, in a bounded knapsack with counts in powers of two.
-    mask, reach, steps = (1 << (width + 1)) - 1, 1, []
+def _programme(sizes: np.ndarray, spare: np.ndarray, left: int) -> tuple[np.ndarray, int]:
+    """How many of ``spare`` documents of each size come nearest to ``left`` words, at most TABLE / 2, and by how much they miss.
+
+    Which sums can be reached is a bit each, in a bounded knapsack with counts in powers of two. A document beyond the table
+    would pass ``left`` by more than there is of it.
+    """
+    mask, reach, steps, more = (1 << (TABLE + 1)) - 1, 1, [], np.zeros(len(sizes), np.int64)
     for k in np.argsort(-sizes.astype(np.int64), kind="stable"):
-        spare, power = int(counts[k] - taken[k]) if sizes[k] else 0, 1
-        spare = min(spare, width // int(sizes[k])) if spare else 0
-        while spare > 0 and not reach >> left & 1:
-            use = min(power, spare)
-            steps.append((k, use, reach))
-            reach |= reach << use * int(sizes[k]) & mask
-            spare, power = spare - use, power * 2
+        rest, power = min(int(spare[k]), TABLE // int(sizes[k])) if sizes[k] else 0, 1
+        while rest > 0 and not reach >> left & 1:
+            use = min(power, rest)
+            now = reach | (reach << use * int(sizes[k]) & mask)
+            if now != reach:
+                steps.append((k, use, reach))
+                reach = now
+            rest, power = rest - use, power * 2
         if reach >> left & 1:
             break
     below = (reach & ((1 << (left + 1)) - 1)).bit_length() - 1
     above = reach >> left
     above = left + ((above & -above).bit_length() - 1) if above else below
     goal = above if above - left < left - below else below
+    miss = abs(goal - left)
     for k, use, before in reversed(steps):
         if not before >> goal & 1:
-            taken[k] += use
+            more[k] += use
             goal -= use * int(sizes[k])
-    return taken.astype(np.int64)
+    return more, miss
+
+
+def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """How many documents of each size to take, ``counts`` at most, for a sum near ``budget``.
+
+    An equal share of each size's documents comes first, then, while more is left than the table covers, the largest sizes,
+    then the programme. Where that misses a budget that the table covers, the programme starts from nothing, and the sum is
+    the nearest there is.
+    """
+    sizes, counts = sizes.astype(object), counts.astype(object)
+    total = int((sizes * counts).sum())
+    budget = min(max(int(budget), 0), total)
+    if not total:
+        return np.zeros(len(sizes), np.int64)
+    taken = counts * budget // total
+    left = budget - int((sizes * taken).sum())
+    largest_first = np.argsort(-sizes.astype(np.int64), kind="stable")
+    for room in (TABLE // 2, 0):
+        for k in largest_first:
+            if left > TABLE // 2 and sizes[k]:
+                more = max(0, min(int(counts[k] - taken[k]), (left - room) // int(sizes[k])))
+                taken[k] += more
+                left -= more * int(sizes[k])
+    if left > TABLE // 2:
+        # Only documents of more words than are left: the smallest, if it passes by less.
+        over = [int(k) for k in largest_first if taken[k] < counts[k] and sizes[k]]
+        if over and int(sizes[over[-1]]) - left < left:
+            taken[over[-1]] += 1
+        return taken.astype(np.int64)
+    more, miss = _programme(sizes, counts - taken, left)
+    if miss and budget <= TABLE // 2:
+        alone, least = _programme(sizes, counts, budget)
+        if least < miss:
+            return alone
+    return taken.astype(np.int64) + more
 
 
 def _targets(weights: tuple[float, ...], share: float, most: float):
@@ -125,35 +149,39 @@ def _plan(frame: pd.DataFrame) -> pd.DataFrame:
     return frame[["source", "size", "source_size", "target", "times", "quota"]]
 
 
-
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2, seed: int = 17, keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` of every row, and its columns ``keep``.
 
     Sources are weighed in order of code point, null last, as a source of its own; texts that are null or without words
     have size 0 and are never taken more than their source's full passes. ``copies`` is 0, 1 or 2 by ``most``; ``taken``
     is copies times size. Ties in the seeded hash go by id; rows that repeat an id and size are interchangeable. An empty
-    table gives none.
+    table gives none. Texts of any length are counted whole. Columns of ``keep`` that are called like the results are
+    replaced by them; any other name will do, as columns are carried under names of their own.
     """
-    more = tuple(k for k in keep if k not in (doc_id, source))
-    sized = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), text, *[k for k in more if k != text])
-    sized = cut(with_size(sized, text, "doc_id", "source", *more), "sizes")
+    results = ("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+    names = [k for k in keep if k not in (doc_id, source, *results)]
+    carried = {k: f"_keep_{i}" for i, k in enumerate(names)}
+    rows = docs.select(F.col(text).alias(carried.get(text, "_text")), F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), *[F.col(f"`{k}`").alias(c) for k, c in carried.items() if k != text])
+    sized = cut(with_size(rows, rows.columns[0], text not in carried), "sizes")
     hashed = F.xxhash64(F.lit(seed), F.col("doc_id"))
     bucket = F.pmod(F.shiftrightunsigned(hashed, 20), F.lit(BUCKETS)).alias("bucket")
     counts = cut(sized.groupBy("source", "size", bucket).agg(F.count(F.lit(1)).alias("n")), "counts")
     by_size = counts.groupBy("source", "size").agg(F.sum("n").alias("n"))
     totals = by_size.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).cast("long").alias("source_size"))
-    targets = totals.groupBy().applyInPandas(_targets(weights, share, most), "source string, source_size long, target double")
-    plan = by_size.join(targets, by_size["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    plan = cut(plan.groupBy("source").applyInPandas(_plan, "source string, size long, source_size long, target double, times long, quota long"), "plan")
+    targets = cut(totals.groupBy().applyInPandas(_targets(weights, share, most), "source string, source_size long, target double"), "targets")
+    with_target = sized_join(by_size.alias("b"), targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source")), "inner", "source").select("b.*", "source_size", "target")
+    plan = cut(with_target.groupBy("source").applyInPandas(_plan, "source string, size long, source_size long, target double, times long, quota long"), "plan")
     # A size's quota goes to its buckets in order: whole ones, and a part of the last.
     earlier = F.coalesce(F.sum("n").over(Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    on = counts["source"].eqNullSafe(plan["source"]) & (counts["size"] == plan["size"])
-    quotas = counts.withColumn("earlier", earlier).join(plan, on).select(counts["source"], counts["size"], "bucket", "source_size", "target", "times", F.greatest(F.lit(0), F.least("n", F.col("quota") - F.col("earlier"))).alias("some"), "n")
-    asked = sized.withColumn("bucket", bucket).alias("s").join(quotas.alias("q"), F.col("s.source").eqNullSafe(F.col("q.source")) & (F.col("s.size") == F.col("q.size")) & (F.col("s.bucket") == F.col("q.bucket")))
-    asked = asked.select("s.doc_id", "s.source", "s.size", "s.bucket", *[f"s.{k}" for k in more], "source_size", "target", "times", "some", "n")
+    same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source")) & (F.col(f"{a}.size") == F.col(f"{b}.size"))
+    some = F.greatest(F.lit(0), F.least("n", F.col("quota") - F.col("earlier"))).alias("some")
+    quotas = sized_join(counts.withColumn("earlier", earlier).alias("c"), plan.alias("p"), same("c", "p"), "inner", "source").select("c.source", "c.size", "bucket", "source_size", "target", "times", some, "n")
+    quotas = cut(quotas, "quotas")
+    asked = sized_join(sized.withColumn("bucket", bucket).alias("s"), quotas.alias("q"), same("s", "q") & (F.col("s.bucket") == F.col("q.bucket")), "inner", "source")
+    asked = asked.select("s.*", "source_size", "target", "times", "some", "n")
     partly = (F.col("some") > 0) & (F.col("some") < F.col("n"))
     rank = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy(hashed, "doc_id"))
     once = asked.filter(~partly).withColumn("more", (F.col("some") > 0).cast("long"))
     part = asked.filter(partly).withColumn("more", (rank <= F.col("some")).cast("long"))
-    out = once.unionByName(part)
-    return out.withColumn("copies", F.col("times") + F.col("more")).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *more)
+    out = once.unionByName(part).withColumn("copies", F.col("times") + F.col("more")).withColumn("taken", F.col("copies") * F.col("size"))
+    return out.select(*results, *[F.col(c).alias(k) for k, c in carried.items()])
