@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from quillon.llm import components, decontam, html_extract, jaccard_join, langid, license_scan, line_dedup, mixing, oracles, pii, quality, textkernel, url_filter
 from quillon.llm import entry
+from quillon.plans import lineage
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -109,11 +110,17 @@ def test_shuffled_joins_give_the_same(spark, docs, monkeypatch):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     for module in (line_dedup,):
         monkeypatch.setattr(module, "BROADCAST_BYTES", -1)
-    monkeypatch.setattr("quillon.plans.lineage.sized_join.__defaults__", (-1,), raising=False)
+    monkeypatch.setitem(lineage.sized_join.__kwdefaults__, "limit", -1)
+    broadcasts = []
+    monkeypatch.setattr(lineage.F, "broadcast", lambda df: broadcasts.append(df) or df)
     got = decontam.digest(decontam.match_phrases(docs, items))
     assert rows(got, *got.columns) == sorted(brute.decontaminated(texts(), ITEMS), key=str)
     out = line_dedup.line_dedup(docs)
     assert rows(out, "doc_id", "n_lines", "n_dropped", "text") == sorted(brute.deduped_lines([(a, b, d) for a, b, _, d, _ in DOCS]), key=str)
+    plan = {r.doc_id: (r.target, r.taken) for r in mixing.mix(docs.filter("doc_id not in (42, 50)")).collect()}
+    assert not broadcasts
+    monkeypatch.undo()
+    assert plan == {r.doc_id: (r.target, r.taken) for r in mixing.mix(docs.filter("doc_id not in (42, 50)")).collect()}
 
 
 def test_line_dedup(docs, empty):
@@ -239,6 +246,12 @@ def test_language_id(spark, docs, empty):
     again = langid.train(labelled.filter(~langid.held_out()))
     assert all(np.array_equal(net.p[k], again.p[k]) for k in net.p)
     assert langid.train(empty) is None
+    # A text that a language repeats counts once, and does not keep the language from being learnt.
+    one = spark.createDataFrame([(5, made[1][1], "fr")] * 5000 + [(6, made[0][1], "en")] + [(7, None, "en"), (8, "", "de"), (9, "12", "xx")], "doc_id long, text string, lang string")
+    assert [(k, x[0]) for k, x in langid.training_sample(one, "text", "lang")] == [("en", made[0][1][: langid.WINDOW]), ("fr", made[1][1][: langid.WINDOW])]
+    sample = langid.training_sample(labelled, "text", "lang", per_language=20)
+    assert [k for k, _ in sample] == ["en"] * 20 + ["fr"] * 20
+    assert sample == langid.training_sample(labelled.unionByName(labelled).repartition(7), "text", "lang", per_language=20)
     assert {r.lang_pred for r in langid.identify(docs, None).collect()} == {"und"}
     whole = langid.identify(docs, net, keep=("text", "doc_id"))
     assert rows(whole, "doc_id", "text") == sorted(texts(), key=str)
@@ -359,9 +372,28 @@ def test_budget_fit_is_best():
             sums = {x + int(s) * k for x in sums for k in range(int(c) + 1)}
         taken = mixing.fit(sizes, counts, budget)
         assert (taken >= 0).all() and (taken <= counts).all()
-        floor = int((sizes * (counts * budget // max(total, 1))).sum())
-        best = min(abs(x - budget) for x in sums)
-        assert abs(int((sizes * taken).sum()) - budget) == best or floor > 0
+        assert abs(int((sizes * taken).sum()) - budget) == min(abs(x - budget) for x in sums)
+
+
+def test_budget_fit_of_large_sizes():
+    """Documents far beyond the programme's table, and many of every size: near the budget, in bounded memory."""
+    huge = np.array([3, 90_000, 10_000_000])
+    for budget in (5, 80_000, 9_000_000, 12_345_678, 31_000_000):
+        taken = mixing.fit(huge, np.array([2, 5, 3]), budget)
+        assert abs(int((huge * taken).sum()) - budget) <= 5_000_000
+    sizes, counts = np.arange(2, 60_000, 2), np.full(29_999, 3)
+    for budget in (40_001, 10**9 + 1):
+        taken = mixing.fit(sizes, counts, budget)
+        assert (taken <= counts).all() and abs(int((sizes * taken).sum()) - budget) <= 1
+
+
+def test_mixing_carries_clashing_names(spark):
+    names = ("size", "n", "bucket", "target", "times", "some", "copies", "taken", "source_size", "more", "_text", "_keep_0")
+    rows_ = [(k, f"word {'x ' * k}", f"s{k % 2}", *(f"{c}{k}" for c in names)) for k in range(12)]
+    got = mixing.mix(spark.createDataFrame(rows_, ["doc_id", "text", "source", *names]), keep=("doc_id", "text", "source", *names))
+    assert got.columns == ["doc_id", "source", "size", "source_size", "target", "copies", "taken", "text", "n", "bucket", "times", "some", "more", "_text", "_keep_0"]
+    for r in got.collect():
+        assert r["size"] == r.doc_id + 1 and all(r[c] == f"{c}{r.doc_id}" for c in ("n", "bucket", "times", "some", "more", "_text", "_keep_0")) and r.text == f"word {'x ' * r.doc_id}"
 
 
 def test_shares_stop_at_twice_the_size():
@@ -391,7 +423,7 @@ def test_pipeline(spark, docs, empty, tmp_path):
     want = [d for d in DOCS if told[d[0]] != "und"]
     first = corpus_pipeline.language_id(spark, left, str(tmp_path))
     assert first.columns == columns
-    assert {r.doc_id for r in first.collect()} <= {d[0] for d in want}
+    assert sorted(r.doc_id for r in first.collect()) == sorted(d[0] for d in want)
     left = first.cache()
     held = [(r.doc_id, r.text, r.source) for r in left.collect()]
     want = {(a, t) for a, _, n, t in brute.deduped_lines(held) if not n or brute.WORD.search(t)}
@@ -410,6 +442,24 @@ def test_pipeline(spark, docs, empty, tmp_path):
     assert corpus_pipeline.mix_sources(spark, empty, str(tmp_path)).count() == 0
 
 
+def test_pipeline_keeps_the_documents_columns(spark, tmp_path):
+    """Columns that are called like results or inner columns come through every stage but the last one's results."""
+    names = ["lang_pred", "score", "Score2", "n_lines", "n_dropped", "n_words", "hits", "hit_items", "_id", "_site", "_text", "rank", "with.dot", "size", "source_size", "component_id"]
+    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame = spark.createDataFrame([(*d, *(f"{c}{d[0]}" for c in names)) for d in DOCS], ", ".join([SCHEMA, *(f"`{c}` string" for c in names)]))
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    left = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = lineage.cut(stage(spark, left, str(tmp_path)), name)
+        assert left.columns == frame.columns
+    before = lineage.written()
+    last = corpus_pipeline.run(spark, str(tmp_path))
+    assert last.columns == [c for c in frame.columns if c not in ("size", "copies", "taken")] + ["size", "copies", "taken"]
+    held = [r.asDict() for r in last.collect()]
+    assert held and all(r[c] == f"{c}{r['doc_id']}" for r in held for c in names if c != "size")
+    assert len(lineage.written()) == len(before) + 1
+
+
 def test_pipeline_keeps_every_text_with_a_language(spark, docs, tmp_path, monkeypatch):
     unsure = lambda df, net, keep: df.select(*keep).withColumns({"lang_pred": F.when(F.col("text").rlike("[a-z]"), "en").otherwise("und"), "score": F.lit(0.3)})
     monkeypatch.setattr(langid, "train", lambda df: None)
