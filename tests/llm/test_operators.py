@@ -1,8 +1,10 @@
 """The operators on planted cases: brute force, edge cases, and what must stay alone."""
 
+import os
 import random
 import time
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -318,6 +320,11 @@ def test_trees_learn():
 
 
 PAGE = "<html><head><title>T</title><style>p{}</style></head><body><header>Site</header><nav><ul><li>Home<li>News</ul></nav><div class='cookie-notice'>Cookies</div>{0}<aside>Side</aside><form>Mail<input></form><script>var x='</p>';</script><div id=comments><p>A comment</p></div><footer>&copy; X</footer>"
+HTML = "page_id long, url string, html string"
+
+
+def extracted(spark, made):
+    return {r.page_id: (r.text, r.n_chars, r.n_shared) for r in html_extract.extract(spark.createDataFrame(made, HTML)).collect()}
 
 
 def test_html_extract(spark):
@@ -325,23 +332,118 @@ def test_html_extract(spark):
     made = [(k, f"http://h.com/{k}", PAGE.replace("{0}", article)) for k in range(3)]
     made += [(10 + k, f"http://g.com/{k}", f"<p>Shared top</p><p>Own text {k}</p><p>Shared end</p>") for k in range(4)]
     made += [(20, "http://lone.com/", "<p>All mine"), (21, None, None), (22, "", ""), (23, "http://z.com", "<p>cut &am"), (24, "http://y.com", "a < b <!-- c --> <article>d")]
-    got = {r.page_id: (r.text, r.n_chars) for r in html_extract.extract(spark.createDataFrame(made, "page_id long, url string, html string")).collect()}
+    got = extracted(spark, made)
     assert all(got[k][0] == "Head & more One bold two three x y" for k in range(3))
-    assert all(got[10 + k][0] in (f"Own text {k}", f"Shared top Own text {k} Shared end") for k in range(4)) and any(got[10 + k][0] == f"Own text {k}" for k in range(4))
-    assert got[20] == ("All mine", 8) and got[21] == got[22] == ("", 0) and got[23][0] == "cut &am" and got[24][0] == "d"
-    assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    assert all(got[10 + k] == (f"Own text {k}", 10, 2) for k in range(4))
+    assert got[20] == ("All mine", 8, 0) and got[21][:2] == got[22][:2] == ("", 0) and got[23][0] == "cut &am" and got[24][0] == "d"
+    assert html_extract.extract(spark.createDataFrame([], HTML)).count() == 0
+
+
+def test_html_differencing_decides(spark):
+    """What may be article text goes if the neighbour has it too; what no list knows goes by its place."""
+    body = "<div class=zq><p>Changing chrome {k}</p></div><article><header><h1>Head {k}</h1></header><p>Same passage</p><div class=share>Share this</div><div class='related-work'><p>Work of {k}</p></div><p>E = <math><mi>m</mi><mi>c</mi></math>{k}</p></article>"
+    alone = html_extract.main_text(html_extract.lines_of(body.replace("{k}", "1")), None)
+    assert alone == ("Head 1 Same passage Share this Work of 1 E = mc1", 0)
+    got = extracted(spark, [(k, f"http://h.com/a/{k}", body.replace("{k}", str(k))) for k in range(5)])
+    assert all(got[k] == (f"Head {k} Same passage Work of {k} E = mc{k}", 37, 2) for k in range(5))
+    plain = "<div class=top>Site {k}</div><div class=header>Date {k}</div><p>Text {k}</p><div class=header>End</div>"
+    got = extracted(spark, [(k, f"http://h.com/{k}", plain.replace("{k}", str(k))) for k in range(3)])
+    assert all(got[k] == (f"Site {k} Text {k}", 13, 2) for k in range(3))
+    assert html_extract.main_text(html_extract.lines_of("<main>a<p class='with-sidebar'>b</p><noscript>c</noscript><object>d</object></main>e"), None)[0] == "a b cd"
+
+
+def test_html_lines_as_a_parser_reads_them():
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.blocks, self.raw = [""], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.raw += tag in ("script", "style")
+            self.blocks += [""] if tag in ("p", "div", "li", "article", "h1", "td") else []
+            self.blocks[-1] += " " if tag == "br" else ""
+
+        def handle_endtag(self, tag):
+            self.raw -= tag in ("script", "style")
+            self.blocks += [""] if tag in ("p", "div", "li", "article", "h1", "td") else []
+
+        def handle_data(self, data):
+            self.blocks[-1] += "" if self.raw else data
+
+    rng = random.Random(12)
+
+    def some(depth):
+        if depth > 3 or rng.random() < 0.3:
+            return rng.choice(["word", " a  b\n", "x &lt; y &amp;", "&eacute;&#8364;", "<br>", "<!-- <p>no</p> -->", "<script>if (a<b) '</p>'</script>", "<img alt='a>b'>", "1 &gt; 0"])
+        tag = rng.choice(["p", "div", "li", "td", "b", "em", "span", "h1", "custom-tag"])
+        return f"<{tag}{rng.choice(['', ' title=\"a b\"', ' data-x=1'])}>" + "".join(some(depth + 1) for _ in range(rng.randrange(4))) + f"</{tag}>"
+
+    for _ in range(200):
+        page = "".join(some(0) for _ in range(6))
+        reader = Reader()
+        reader.feed(page)
+        reader.close()
+        assert [x.text for x in html_extract.lines_of(page)] == [" ".join(b.split()) for b in reader.blocks if b.split()]
+
+
+def test_html_neighbours_by_brute_force(spark):
+    """Hosts of several sizes, a hot one, at several numbers of partitions: every page against the neighbour that sorting all
+    pages finds, by a plain alignment."""
+    rng = random.Random(4)
+    made = []
+    for k in range(240):
+        host = "hot.com" if k % 3 else f"h{k % 40}.com"
+        own = [f"<p>own {k} {j}</p>" for j in range(rng.randrange(3))]
+        menu = [f"<p>menu {host} {j}</p>" for j in range(6) if rng.random() < 0.7]
+        made.append((k, f"http://{host}/{rng.choice('abc')}/{rng.choice('xyz')}{k}?q=1", "".join(menu[:2] + own[:1] + menu[2:] + own[1:])))
+    lines = {k: [x.text for x in html_extract.lines_of(h)] for k, _, h in made}
+    order = sorted((u.split("/")[2], u.split("?")[0].split(".com", 1)[1], k) for k, u, _ in made)
+
+    def common(a, b):
+        return len(os.path.commonprefix([a, b]))
+
+    want = {}
+    for i, (host, path, k) in enumerate(order):
+        near = [order[j] for j in (i - 1, i + 1) if 0 <= j < len(order) and order[j][0] == host]
+        other = lines[max(near, key=lambda x: common(x[1], path))[2]] if near else []
+        assert [x for x in lines[k] if x in other] == [x for x in other if x in lines[k]]  # distinct lines in one order
+        left = [x for x in lines[k] if x not in other]
+        want[k] = (" ".join(left), len(" ".join(left)), len(lines[k]) - len(left))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("1", "4", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            assert extracted(spark, made) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_html_repeats_long_pages_and_names(spark):
+    long = "".join(f"<p>line {k}" for k in range(60_000))
+    made = [(k, "http://same.com/x", "<p>Same") for k in range(6)] + [(10, "http://long.com/1", long + "<p>one"), (11, "http://long.com/2", long + "<p>two"), (12, "http://long.com/3", "<div>" * 50_000 + "deep")]
+    began = time.monotonic()
+    got = extracted(spark, made)
+    assert time.monotonic() - began < 60
+    assert all(got[k] == ("", 0, 1) for k in range(6)) and got[10] == ("one", 3, 60_000) and got[12][0] == "deep"
+    names = ("text", "n_chars", "_host", "_part", "_html", "host")
+    pages = spark.createDataFrame([(k, f"http://h.com/{k}", f"<p>a</p><p>{k}</p>", *names) for k in range(3)], ["page_id", "url", "html", *names])
+    out = html_extract.extract(pages, keep=("page_id", *names))
+    assert out.columns == ["page_id", "_host", "_part", "_html", "host", "text", "n_chars", "n_shared"]
+    assert rows(out, "page_id", "_host", "host", "text") == [(k, "_host", "host", str(k)) for k in range(3)]
 
 
-def test_shared_lines():
+def test_shared_lines(monkeypatch):
     rng = random.Random(2)
-    for _ in range(300):
-        a, b = ([rng.choice("abcde") for _ in range(rng.randrange(12))] for _ in range(2))
-        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i, x in enumerate(a):
-            for j, y in enumerate(b):
-                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
-        found, left = sorted(html_extract.shared_lines(a, b)), iter(b)
-        assert len(found) == table[-1][-1] and all(a[k] in left for k in found)
+    for bits in (1 << 22, 8):
+        monkeypatch.setattr(html_extract, "TABLE_BITS", bits)
+        for _ in range(300):
+            a, b = ([rng.choice("abcde") for _ in range(rng.randrange(12))] for _ in range(2))
+            table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+            for i, x in enumerate(a):
+                for j, y in enumerate(b):
+                    table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+            found, left = sorted(html_extract.shared_lines(a, b)), iter(b)
+            assert len(found) == table[-1][-1] and all(a[k] in left for k in found)
 
 
 def test_mixing(docs, empty):
