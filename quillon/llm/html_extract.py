@@ -242,7 +242,6 @@ def _alike(a: str, b: str) -> int:
     return low
 
 
-@textkernel.released
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (host, path, ghost, html, kept columns ...) of whole parts in order; a ghost only serves as a neighbour."""
 
@@ -315,5 +314,5 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html", keep: tuple[
     dealt = rows.select("*", parts).repartitionById(partitions, F.col("_part")).sortWithinPartitions(*order)
     inner = ["_host", "_path", (F.col("_ghost") > 0).alias("_ghost"), "_html", *[c for c in rows.columns if c.startswith("_keep_")]]
     schema = ", ".join([*(f"_keep_{i} {kinds[k]}" for i, k in enumerate(keep)), "text string, n_chars long, n_shared long"])
-    told = dealt.select(*inner).mapInArrow(_extract, schema)
+    told = textkernel.mapped(dealt.select(*inner), _extract, schema)
     return told.select(*[F.col(f"_keep_{i}").alias(k) for i, k in enumerate(keep)], "text", "n_chars", "n_shared")

@@ -159,7 +159,6 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", per_langu
 
 
 def _predict(net: ByteNet | None, text: str, keep: tuple[str, ...]):
-    @textkernel.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = np.array(batch.column(1).to_pylist(), bool)
@@ -187,7 +186,7 @@ def identify(docs: DataFrame, net: ByteNet | None, text: str = "text", keep: tup
     kinds = dict(docs.dtypes)
     letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     source = docs.select(F.col(text).alias("_text"), letter.alias("_letter"), *[k for k in keep if k != text])
-    return source.mapInArrow(_predict(net, text, keep), ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "lang_pred string, score double"]))
+    return textkernel.mapped(source, _predict(net, text, keep), ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "lang_pred string, score double"]))
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -30,7 +30,6 @@ BUCKETS = 256
 
 
 def _sizes(kept: int):
-    @textkernel.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = [w.counts for w in textkernel.words(batch.column(0), hashed=False)]
@@ -43,7 +42,7 @@ def _sizes(kept: int):
 def with_size(rows: DataFrame, text: str, drop: bool) -> DataFrame:
     """``size`` (number of words; null: 0) and the columns of ``rows``, whose first is the text, without it if ``drop``."""
     schema = ", ".join(["size long", *(f"`{k}` {kind}" for k, kind in rows.dtypes if k != text or not drop)])
-    return rows.mapInArrow(_sizes(int(not drop)), schema)
+    return textkernel.mapped(rows, _sizes(int(not drop)), schema)
 
 
 def share_out(sizes: list[int], weights: list[float], words: float, most: float) -> list[float]:

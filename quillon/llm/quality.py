@@ -115,7 +115,6 @@ def ordered_rules(texts: list[str]) -> list[tuple[str, float, float]]:
 
 
 def _cascade(order: list[str]):
-    @textkernel.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(0)
@@ -151,4 +150,4 @@ def quality_cascade(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
     order = [name for name, _, _ in ordered_rules([r[0] for r in near.collect()])]
     kinds = dict(docs.dtypes)
     counts = ", ".join(f"{c} long" for c in COUNTS)
-    return docs.select(text, *keep).mapInArrow(_cascade(order), ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), counts, "base_failed boolean, kept boolean, rejected_by string"]))
+    return textkernel.mapped(docs.select(text, *keep), _cascade(order), ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), counts, "base_failed boolean, kept boolean, rejected_by string"]))

@@ -13,9 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Bytes of text that one numpy pass covers, so that memory stays bounded whatever the batch; longer texts come alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
+#: Bytes of an Arrow batch between Spark and a worker; a longer row comes alone.
+BATCH_BYTES = 4 << 20
 _SEED = np.random.default_rng(20_231)
 _ODD = lambda n: _SEED.integers(0, 1 << 62, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TABLE, _GRAM, _LENGTH = _ODD(256), _ODD(64), _ODD(64)
@@ -47,6 +50,15 @@ def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
     return outer
 
 
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` in batches of BATCH_BYTES: rows say nothing about what a batch of texts takes, on either
+    side. The limit is a setting of the session, which stays, as the result is lazy; a session's own setting wins."""
+    conf, limit = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(limit, None) is None:
+        conf.set(limit, str(BATCH_BYTES))
+    return df.mapInArrow(released(run), schema)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

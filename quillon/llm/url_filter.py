@@ -151,7 +151,7 @@ def _count_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def train(labelled: DataFrame, url: str = "url", label: str = "verdict", sample: int = SAMPLE) -> tuple[Trees, np.ndarray] | None:
     """Trees and suffix statistics from URLs labelled ``allow`` or ``block``; None without any."""
     rows = labelled.filter(F.col(label).isNotNull() & F.col(url).isNotNull()).select(F.col(url).alias("url"), (F.col(label) == "block").alias("blocked"))
-    counts = rows.mapInArrow(_count_suffixes, "class long, blocked long, n long").groupBy("class").agg(F.sum("blocked").alias("blocked"), F.sum("n").alias("n")).collect()
+    counts = textkernel.mapped(rows, _count_suffixes, "class long, blocked long, n long").groupBy("class").agg(F.sum("blocked").alias("blocked"), F.sum("n").alias("n")).collect()
     if not counts:
         return None
     mean = sum(r["blocked"] for r in counts) / sum(r["n"] for r in counts)
@@ -177,7 +177,6 @@ def train(labelled: DataFrame, url: str = "url", label: str = "verdict", sample:
 
 
 def _verdicts(model: tuple[Trees, np.ndarray] | None):
-    @textkernel.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             urls = batch.column(0).to_pylist()
@@ -204,4 +203,4 @@ def filter_urls(pages: DataFrame, url: str = "url", keep: tuple[str, ...] = ("pa
     ruled = parts.withColumns({"rule": rule, "verdict": verdict})
     model = train(ruled, "_url", "verdict")
     kinds = dict(pages.dtypes)
-    return ruled.mapInArrow(_verdicts(model), ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "host string, path string, rule string, verdict string, score double"]))
+    return textkernel.mapped(ruled, _verdicts(model), ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "host string, path string, rule string, verdict string, score double"]))
