@@ -201,10 +201,7 @@ def test_jaccard_join(docs, empty):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(k for k, r in want.items() if r[2] == k)
 
 
-@pytest.mark.parametrize("pivots", [1, 256])
-def test_jaccard_chains_and_thresholds(spark, monkeypatch, pivots):
-    monkeypatch.setattr(jaccard_join, "NEXT_PIVOTS", pivots)
-    rng = random.Random(8)
+def edited(rng):
     base = [f"w{k}" for k in range(300)]
     made = []
     for k in range(60):  # windows that slide: neighbours link, far ones don't
@@ -214,10 +211,79 @@ def test_jaccard_chains_and_thresholds(spark, monkeypatch, pivots):
         for _ in range(rng.randrange(1, 9)):
             own[rng.randrange(80)] = f"x{rng.randrange(30)}"
         made.append((100 + k, " ".join(own)))
+    return made
+
+
+@pytest.mark.parametrize(("pivots", "leaf", "group"), [(2, 2, 1), (3, 5, 7), (8, 32, 20_000)])
+def test_jaccard_chains_and_thresholds(spark, monkeypatch, pivots, leaf, group):
+    for name, value in (("PIVOTS", pivots), ("LEAF", leaf), ("GROUP", group)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    made = edited(random.Random(8))
+    got = rows(jaccard_join.jaccard_components(spark.createDataFrame(made, "doc_id long, text string")), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute.jaccard(made), key=str)
+
+
+@pytest.mark.parametrize("spread", [9, 30])
+def test_jaccard_hot_cell(spark, monkeypatch, spread):
+    """One passage is a large part of most documents, with tight groups of near copies around it: cells hold many documents of many
+    components. Every path has work: regions that split, regions that stay whole, leaves; and what is measured stays far
+    below all pairs of the cells."""
+    monkeypatch.setattr(jaccard_join, "PIVOTS", 3)
+    monkeypatch.setattr(jaccard_join, "LEAF", 4)
+    rng = random.Random(spread)
+    passage, made = [f"p{k}" for k in range(120)], []
+    for group in range(40):
+        own = passage + [f"g{group}x{k}" for k in range(rng.choice([spread, 2 * spread]))]
+        for _ in range(rng.randrange(1, 7)):
+            words = list(own)
+            for _ in range(rng.randrange(4)):
+                words[rng.randrange(len(words))] = f"e{rng.randrange(40)}"
+            made.append((len(made), " ".join(words)))
+    seen = []
+    measured = jaccard_join._measured
+    monkeypatch.setattr(jaccard_join, "_measured", lambda pairs, sets: seen.append(pairs.distinct().count()) or measured(pairs, sets))
+    got = rows(jaccard_join.jaccard_components(spark.createDataFrame(made, "doc_id long, text string")), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute.jaccard(made), key=str)
+    assert len(seen) > 1 and sum(seen) < len(made) * (len(made) - 1) / 2
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_jaccard_nested_groups(spark, monkeypatch, seed):
+    """Groups within groups, at distances on both sides of the threshold: regions that split are joined again."""
+    monkeypatch.setattr(jaccard_join, "PIVOTS", 3)
+    monkeypatch.setattr(jaccard_join, "LEAF", 4)
+    rng, made = random.Random(seed), []
+    for a in range(4):
+        mid = [f"t{k}" for k in range(60)]
+        for _ in range(5):
+            mid[rng.randrange(60)] = f"a{a}_{rng.randrange(99)}"
+        for b in range(5):
+            low = list(mid)
+            for _ in range(3):
+                low[rng.randrange(60)] = f"b{a}_{b}_{rng.randrange(99)}"
+            for _ in range(5):
+                words = list(low)
+                words[rng.randrange(60)] = f"c{rng.randrange(999)}"
+                made.append((len(made), " ".join(words)))
     got = rows(jaccard_join.jaccard_components(spark.createDataFrame(made, "doc_id long, text string")), "doc_id", "n_shingles", "component_id")
     assert got == sorted(brute.jaccard(made), key=str)
 
 
+def test_often_counts(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HELD", 50)
+    rng, often, true = np.random.default_rng(3), jaccard_join._Often(), {}
+    for _ in range(40):
+        keys = np.unique(np.concatenate([rng.integers(0, 1 << 60, 90), rng.integers(0, 6, 4)])).astype(np.uint64)
+        often.add(keys)
+        for k in keys.tolist():
+            true[k] = true.get(k, 0) + 1
+    assert len(often.keys) <= 50
+    held = dict(zip(often.keys.tolist(), often.counts.tolist()))
+    bound = sum(true.values()) / 50
+    assert all(true[k] - bound <= held.get(k, 0) <= true[k] for k in true) or all(held.get(k, 0) <= true[k] <= held.get(k, 0) + bound for k in true)
+    assert all(held.get(k, 0) > 0 for k in true if true[k] > bound)
+
+
 def test_jaccard_heavy_shingles(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "HEAVY", 3)
     monkeypatch.setattr(jaccard_join, "LOCAL_HEAVY", 2)
