@@ -7,7 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillon.operators.crosssection import wide_of
 from quillon.plans.config import ModelConfig
+from quillon.plans.lineage import cut, sized_join
 from quillon.sources.schemas import DATE, ID
 
 INTERCEPT = "INTERCEPT"
@@ -44,18 +46,27 @@ def factor_returns(wide: DataFrame, returns: DataFrame, factors: list[str], cfg:
     return out.select(F.lit(cfg.model).alias("MODEL"), DATE, "FACTOR_NAME", "RETURN")
 
 
+def returns_by_date(factors: DataFrame, names: list[str]) -> DataFrame:
+    """A row for each date with factor returns: one column ``_r_k`` for the k-th of ``names``."""
+    return factors.groupBy(DATE).agg(*[F.max(F.when(F.col("FACTOR_NAME") == n, F.col("RETURN"))).alias(f"_r_{k}") for k, n in enumerate(names)])
+
+
 def specific_returns(exposures: DataFrame, returns: DataFrame, factors: DataFrame, cfg: ModelConfig) -> DataFrame:
     """``MODEL, DATE, SECURITY_ID, SPECIFIC_RETURN``: the return less the sum of exposure times factor return.
 
-    Unknown exposures and factors without a return count as zero; dates without factor returns are left out.
+    Exposures are wide or long. Unknown ones and factors without a return count as zero; securities without a known exposure and
+    dates without factor returns are left out. A date's factor returns are one row, which meets its securities: a row per
+    security and date is joined with returns and is otherwise one projection.
     """
-    own = exposures.select(ID, DATE, "FACTOR_NAME", "EXPOSURE")
-    rows = own.select(ID, DATE).distinct().join(returns.select(ID, DATE, "ONE_DAY_PCT"), [ID, DATE]).filter(F.col("ONE_DAY_PCT").isNotNull())
-    days = factors.select(DATE).distinct()
-    explained = own.join(factors.select(DATE, "FACTOR_NAME", "RETURN"), [DATE, "FACTOR_NAME"]).groupBy(DATE, ID).agg(F.sum(F.col("EXPOSURE") * F.col("RETURN")).alias("_e"))
-    out = rows.join(days, DATE, "left_semi").join(explained, [DATE, ID], "left")
-    left = F.col("ONE_DAY_PCT") - F.coalesce("_e", F.lit(0.0))
-    if cfg.subtract_intercept:
-        constant = factors.filter(F.col("FACTOR_NAME") == INTERCEPT).select(DATE, F.col("RETURN").alias("_a"))
-        out, left = out.join(constant, DATE, "left"), left - F.coalesce("_a", F.lit(0.0))
+    wide, names = wide_of(exposures)
+    rows = wide.filter(F.coalesce(*names).isNotNull() if names else F.lit(False)).join(returns.select(ID, DATE, "ONE_DAY_PCT"), [ID, DATE]).filter(F.col("ONE_DAY_PCT").isNotNull())
+    every = [*names, INTERCEPT]
+    days = cut(returns_by_date(factors, every), "factor-days")
+    left = F.col("ONE_DAY_PCT")
+    for k, n in enumerate(every):
+        if n != INTERCEPT:
+            left = left - F.coalesce(F.col(n) * F.col(f"_r_{k}"), F.lit(0.0))
+        elif cfg.subtract_intercept:
+            left = left - F.coalesce(F.col(f"_r_{k}"), F.lit(0.0))
+    out = sized_join(rows, days, DATE, "inner", *[f"_r_{k}" for k in range(len(every))])
     return out.select(F.lit(cfg.model).alias("MODEL"), DATE, ID, left.alias("SPECIFIC_RETURN"))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only when its measured size stays under this many bytes.
 BROADCAST_BYTES = 16 << 20
+#: What a row of some numbers takes in the table of a broadcast join, as measured.
+ROW_BYTES = 160
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -57,9 +59,19 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def put(spark: SparkSession, name: str, data: bytes) -> str:
+    """Write a file in the shared folder; returns its path."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    out = path.getFileSystem(conf).create(path, True)
+    out.write(bytearray(data))
+    out.close()
+    return path.toString()
+
+
 def measured_bytes(df: DataFrame, *payload: str) -> int:
-    """An upper estimate of what ``df`` takes when broadcast: 64 bytes a row, and the given columns as text."""
-    cost = F.lit(64)
+    """An estimate of what ``df`` takes when broadcast: ROW_BYTES a row, and the given columns as text."""
+    cost = F.lit(ROW_BYTES)
     for c in payload:
         cost = cost + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
     return df.agg(F.sum(cost)).first()[0] or 0

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillon.functions import calendar, fx, geo
 from quillon.functions.scalars import iso
 from quillon.operators import characteristics as ch
 from quillon.operators import covariance, crosssection, metadata, regression, rolling
-from quillon.plans.config import WEEKLY
-from quillon.plans.lineage import cut
+from quillon.plans.config import WEEKLY, ModelConfig
+from quillon.plans.lineage import cut, shared_dir
 from quillon.plans.model import Exposures, build_exposures, live_factors
-from quillon.sources.schemas import DATE, ID
+from quillon.sources.schemas import DATE, ID, OUTPUTS
+from quillon.sources.sinks import write_outputs
 from quillon.sources.warehouse import Warehouse
 from quillon.sources.weekly import SECTORS, weekly_tables
+from quillon.streaming import rolling as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +50,18 @@ def _rounded(*names: str) -> str:
 
 
 _DAY = "strftime(DATE, '%Y-%m-%d') as DATE"
+
+
+def _rolled(cfg: ModelConfig) -> str:
+    return f"""rolled as (select SECURITY_ID, "DATE", case when row_number() over w >= {cfg.momentum + cfg.momentum_skip}
+        then product(1 + r) over (partition by SECURITY_ID order by "DATE" rows between {cfg.momentum + cfg.momentum_skip + cfg.momentum_slack - 1} preceding and {cfg.momentum_skip} preceding)
+           - product(1 + r) over (partition by SECURITY_ID order by "DATE" rows between {cfg.momentum_skip - 1} preceding and current row) end MOMENTUM,
+      case when row_number() over w >= {cfg.volatility} then stddev_samp(r) over (partition by SECURITY_ID order by "DATE" rows between {cfg.volatility - 1} preceding and current row) end VOLATILITY,
+      last_value(case when dv > 0 and cnt = {cfg.liquidity} then ln(mean_dv) end ignore nulls) over (partition by SECURITY_ID order by "DATE" rows between unbounded preceding and current row) LIQUIDITY
+      from (select *, count(*) over l cnt, avg(dv) over l mean_dv from feed window l as (partition by SECURITY_ID, dv > 0 order by "DATE" rows between {cfg.liquidity - 1} preceding and current row))
+      window w as (partition by SECURITY_ID order by "DATE"))"""
+
+
 _SECTOR = "case s_suppkey % 6 " + " ".join(f"when {k} then '{s}'" for k, s in enumerate(SECTORS)) + " end"
 #: The steps that the queries share, each a CTE.
 _STEPS = {
@@ -57,13 +73,7 @@ _STEPS = {
       from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey)""",
     "rets": """rets as (select * from (select SECURITY_ID, "DATE", px / nullif(lag(px) over (partition by SECURITY_ID order by "DATE"), 0) - 1 r from prices) where r is not null)""",
     "feed": """feed as (select SECURITY_ID, "DATE", r, px * vol dv from rets join prices using (SECURITY_ID, "DATE"))""",
-    "rolled": f"""rolled as (select SECURITY_ID, "DATE", case when row_number() over w >= {CFG.momentum + CFG.momentum_skip}
-        then product(1 + r) over (partition by SECURITY_ID order by "DATE" rows between {CFG.momentum + CFG.momentum_skip + CFG.momentum_slack - 1} preceding and {CFG.momentum_skip} preceding)
-           - product(1 + r) over (partition by SECURITY_ID order by "DATE" rows between {CFG.momentum_skip - 1} preceding and current row) end MOMENTUM,
-      case when row_number() over w >= {CFG.volatility} then stddev_samp(r) over (partition by SECURITY_ID order by "DATE" rows between {CFG.volatility - 1} preceding and current row) end VOLATILITY,
-      last_value(case when dv > 0 and cnt = {CFG.liquidity} then ln(mean_dv) end ignore nulls) over (partition by SECURITY_ID order by "DATE" rows between unbounded preceding and current row) LIQUIDITY
-      from (select *, count(*) over l cnt, avg(dv) over l mean_dv from feed window l as (partition by SECURITY_ID, dv > 0 order by "DATE" rows between {CFG.liquidity - 1} preceding and current row))
-      window w as (partition by SECURITY_ID order by "DATE"))""",
+    "rolled": _rolled(CFG),
     "chars": """chars as (select SECURITY_ID, "DATE", SECTOR, CONTINENT, case when eps_ntm > 0 then eps_ntm / nullif(px, 0) end EY_NTM, s_ntm / nullif(px, 0) SY_NTM, case when e_ntm > 0 then e_ntm / nullif(px, 0) end EBITDA_Y_NTM,
       case when eps_ltm > 0 then eps_ltm / nullif(px, 0) end EY_LTM, s_ltm / nullif(px, 0) SY_LTM, case when s_ltm > 0 then e_ltm / s_ltm end EBITDA_MARGIN, case when s_ltm > 0 and cogs > 0 then 1 - cogs / s_ltm end GROSS_MARGIN,
       case when eps_ltm > 0 then eps_ntm / eps_ltm - 1 end EPS_GROWTH, case when s_ltm > 0 then s_ntm / s_ltm - 1 end SALES_GROWTH from fund join prices using (SECURITY_ID, "DATE") join univ using (SECURITY_ID))""",
@@ -139,9 +149,15 @@ def id_semi_filter(spark, sf):
     return shown(_warehouse(spark, sf).prices(ids=["S1", "S3", "S5"]), ID, DATE, "ADJUSTED_PRICE")
 
 
-@query(_with("fund", f"""select SECURITY_ID, {_DAY}, round(s_ltm, 4) as SALES_LTM, round(eps_ltm, 4) as EPS_LTM from fund where "DATE" between date '1997-01-01' and date '1997-12-31'"""))
+#: Sums of money over whole numbers are often half-way between two roundings, where the order of addition would decide; both sides
+#: move them off by this.
+_OFF = 1e-9
+
+
+@query(_with("fund", f"""select SECURITY_ID, {_DAY}, round(s_ltm + {_OFF}, 4) as SALES_LTM, round(eps_ltm + {_OFF}, 4) as EPS_LTM from fund where "DATE" between date '1997-01-01' and date '1997-12-31'"""))
 def fundamentals_panel(spark, sf):
-    return _warehouse(spark, sf).fundamentals_by_date_range("1997-01-01", "1997-12-31").select(ID, iso(DATE).alias(DATE), F.round("SALES_LTM", 4).alias("SALES_LTM"), F.round("EPS_LTM", 4).alias("EPS_LTM"))
+    df = _warehouse(spark, sf).fundamentals_by_date_range("1997-01-01", "1997-12-31")
+    return df.select(ID, iso(DATE).alias(DATE), *[F.round(F.col(c) + _OFF, 4).alias(c) for c in ("SALES_LTM", "EPS_LTM")])
 
 
 @query(_with("univ", "select SECURITY_ID, SECTOR, CONTINENT from univ"))
@@ -170,17 +186,16 @@ def quarter_list(spark, sf):
 
 
 _FX_SQL = """with rates as (select cast(o_orderdate as date) d, ['EUR', 'GBP', 'JPY'][1 + cast(o_orderkey % 3 as integer)] c, avg(o_totalprice) / 100000 as rate from orders group by 1, 2),
-amounts as (select o_orderkey k, cast(o_orderdate as date) d, ['EUR', 'USD', 'GBP', 'CHF'][1 + cast(o_orderkey % 4 as integer)] c, o_totalprice x from orders where o_orderkey % 7 < 3)
+amounts as (select o_orderkey k, cast(o_orderdate as date) d, ['EUR', 'USD', 'GBP', 'CHF'][1 + cast(o_orderkey % 4 as integer)] c, o_totalprice x from orders)
 """
 
 
-def _fx(spark, sf, every=False):
+def _fx(spark, sf):
     orders = spark.read.parquet(f"{sf}/orders.parquet")
     pick = lambda names: F.get(F.array(*map(F.lit, names)), (F.col("o_orderkey") % len(names)).cast("int")).alias("CURRENCY")
     day = F.to_date("o_orderdate").alias(DATE)
     rates = orders.groupBy(day, pick(("EUR", "GBP", "JPY"))).agg((F.avg("o_totalprice") / 100000).alias(fx.RATE))
-    amounts = (orders if every else orders.filter("o_orderkey % 7 < 3")).select("o_orderkey", day, pick(("EUR", "USD", "GBP", "CHF")), F.col("o_totalprice").alias("AMOUNT"))
-    return amounts, rates
+    return orders.select("o_orderkey", day, pick(("EUR", "USD", "GBP", "CHF")), F.col("o_totalprice").alias("AMOUNT")), rates
 
 
 @query(_FX_SQL + """select k as o_orderkey, round(x * case when amounts.c = 'USD' then 1.0::double else coalesce(rate, 1.0::double) end, 2) as AMOUNT from amounts left join rates on rates.d = amounts.d and rates.c = amounts.c""")
@@ -195,25 +210,6 @@ def fx_convert_latest(spark, sf):
     return fx.to_usd_latest(amounts, rates, "AMOUNT").select("o_orderkey", F.round("AMOUNT", 2).alias("AMOUNT"))
 
 
-_FX_ALL_SQL = """with rates as (select cast(o_orderdate as date) d, ['EUR', 'GBP', 'JPY'][1 + cast(o_orderkey % 3 as integer)] c, avg(o_totalprice) / 100000 as rate from orders group by 1, 2),
-amounts as (select o_orderkey k, cast(o_orderdate as date) d, ['EUR', 'USD', 'GBP', 'CHF'][1 + cast(o_orderkey % 4 as integer)] c, o_totalprice x from orders)
-"""
-
-
-@query(_FX_ALL_SQL + """select k as o_orderkey, round(x * case when amounts.c = 'USD' then 1.0::double else coalesce(rate, 1.0::double) end, 2) as AMOUNT from amounts left join rates on rates.d = amounts.d and rates.c = amounts.c""")
-def fx_convert_dated_all(spark, sf):
-    """Every order; ``fx_convert_dated`` has those that its SQL takes."""
-    amounts, rates = _fx(spark, sf, every=True)
-    return fx.to_usd_dated(amounts, rates, "AMOUNT").select("o_orderkey", F.round("AMOUNT", 2).alias("AMOUNT"))
-
-
-@query(_FX_ALL_SQL + """select k as o_orderkey, round(x * case when amounts.c = 'USD' then 1.0::double else coalesce(rate, 1.0::double) end, 2) as AMOUNT from amounts left join (select c, arg_max(rate, d) rate from rates group by 1) r on r.c = amounts.c""")
-def fx_convert_latest_all(spark, sf):
-    """Every order; ``fx_convert_latest`` has those that its SQL takes."""
-    amounts, rates = _fx(spark, sf, every=True)
-    return fx.to_usd_latest(amounts, rates, "AMOUNT").select("o_orderkey", F.round("AMOUNT", 2).alias("AMOUNT"))
-
-
 def _house_with(spark, sf, **tables) -> Warehouse:
     house = _warehouse(spark, sf)
     house.tables |= tables
@@ -227,12 +223,15 @@ def market_value_filter(spark, sf):
     return _house_with(spark, sf, market_value=caps).market_value("1996-01-01", "1997-12-31", ["S2", "S4"]).select(ID, iso(DATE).alias(DATE), F.round("MARKETCAP", 4).alias("MARKETCAP"))
 
 
-@query(_with("prices", """select SECURITY_ID as ticker, strftime("DATE", '%Y-%m-%d') as date, round(px, 6) + 0.0 as close from prices where SECURITY_ID in ('S1', 'S2') and "DATE" between date '1997-01-01' and date '1997-06-30'"""))
+@query(_with("fund", """select SECURITY_ID as ticker, strftime("DATE", '%Y-%m-%d') as date, 'close' as field, round(px, 6) + 0.0 as value from prices where SECURITY_ID in ('S1', 'S2') and "DATE" between date '1997-01-01' and date '1997-06-30'
+union all select SECURITY_ID, strftime("DATE", '%Y-%m-%d'), 'revenue', round(s_ltm, 6) + 0.0 from fund where SECURITY_ID in ('S1', 'S2') and "DATE" between date '1997-01-01' and date '1997-06-30'"""))
 def stock_data(spark, sf):
     t = _tables(spark, sf)
     keyed = lambda df: df.withColumnsRenamed({ID: "ticker", DATE: "date"})
-    house = _house_with(spark, sf, ohlcv=keyed(t["prices"]).withColumnRenamed("ADJUSTED_PRICE", "close"), legacy_fundamentals=keyed(t["fundamentals"]))
-    return shown(house.stock_data(["S1", "S2"], "1997-01-01", "1997-06-30")[0], "ticker", "date", "close")
+    house = _house_with(spark, sf, ohlcv=keyed(t["prices"]).withColumnRenamed("ADJUSTED_PRICE", "close"), legacy_fundamentals=keyed(t["fundamentals"]).withColumnRenamed("SALES_LTM", "revenue"))
+    halves = house.stock_data(["S1", "S2"], "1997-01-01", "1997-06-30")
+    prices, fundamentals = (shown(df, "ticker", "date", F.lit(c).alias("field"), F.col(c).alias("value")) for df, c in zip(halves, ("close", "revenue"), strict=True))
+    return prices.unionByName(fundamentals)
 
 
 @query(_with("prices", f"""select {_DAY}, round(r, 6) + 0.0 as ONE_DAY_PCT from (select "DATE", px / nullif(lag(px) over (order by "DATE"), 0) - 1 r from (select "DATE", avg(px) px from prices where "DATE" between date '1996-01-01' and date '1999-12-31' group by 1)) where r is not null"""))
@@ -241,17 +240,31 @@ def index_returns(spark, sf):
     return shown(_house_with(spark, sf, index_prices=level).index_returns("1996-01-01", "1999-12-31"))
 
 
-@query(_with("prices", """select d as day, n, k as name from (select '1997-01-06' d, 'prices' k, count(*) n from prices where "DATE" = date '1997-01-06' union all select '1997-01-06', 'fundamentals', count(*) from prices where "DATE" = date '1997-01-06'
-union all select '1997-01-06', 'universe', count(distinct SECURITY_ID) from prices where "DATE" = date '1997-01-06' union all select '1997-01-07', 'prices', 0 union all select '1997-01-07', 'fundamentals', 0 union all select '1997-01-07', 'universe', 0)"""))
+def _values(spark, sf):
+    """Market value, enterprise value and exchange rates of the sample: price times volume, a fifth more, and the orders' rates."""
+    prices = _tables(spark, sf)["prices"]
+    cap = F.col("ADJUSTED_PRICE") * F.col("ADJUSTED_VOLUME")
+    rates = _fx(spark, sf)[1].withColumnsRenamed({"CURRENCY": "CURRENCYCODE", fx.RATE: "EXCHANGERATE"})
+    return {"market_value": prices.select(ID, DATE, "CURRENCY", cap.alias("MARKETCAP")), "enterprise_value": prices.select(ID, DATE, (cap * 1.2).alias("ENTERPRISE_VALUE"), F.col(DATE).alias("EV_COMPONENTS_DATE")), "exchange_rates": rates}
+
+
+def _counts(tables: dict[str, DataFrame], **more) -> DataFrame:
+    """A row for each table: its name, its rows, and the columns ``more``."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(*[F.lit(v).alias(k) for k, v in more.items()], F.lit(k).alias("name"), "n") for k, df in tables.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+_SIX = ("prices", "fundamentals", "universe", "exchange_rates", "market_value", "enterprise_value")
+_RATES = "rates as (select cast(o_orderdate as date) d, o_orderkey % 3 c, avg(o_totalprice) / 100000 as rate from orders group by 1, 2)"
+
+
+@query(_with("prices", f""", {_RATES} select d as day, name, case when n = 0 then 0 when name = 'exchange_rates' then (select count(*) from rates where rates.d = cast(x.d as date)) else n end as n
+from (select d, (select count(*) from prices where "DATE" = cast(d as date)) n from (values ('1997-01-06'), ('1997-01-07')) t(d)) x, (select unnest({list(_SIX)}) as name)"""))
 def data_for_date(spark, sf):
-    t = _tables(spark, sf)
-    none = t["prices"].limit(0).select(ID, DATE)
-    house = _house_with(spark, sf, exchange_rates=none.select(DATE).withColumns({"CURRENCY": F.lit(""), fx.RATE: F.lit(1.0)}), market_value=none, enterprise_value=none)
-    counts = [house.data_for_date(d)[k].agg(F.count(F.lit(1)).alias("n")).select(F.lit(d).alias("day"), F.lit(k).alias("name"), "n") for d in ("1997-01-06", "1997-01-07") for k in ("prices", "fundamentals", "universe")]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    """All six tables on a trading day and on one without prices."""
+    house = _house_with(spark, sf, **_values(spark, sf))
+    days = [_counts({k: house.data_for_date(d)[k] for k in _SIX}, day=d) for d in ("1997-01-06", "1997-01-07")]
+    return days[0].unionByName(days[1])
 
 
 @query(_with("rets", """select strftime("DATE", '%Y-%m-%d') as DATE from (select "DATE" from fund intersect select "DATE" from rets)"""))
@@ -266,22 +279,94 @@ def ring_buffer(spark, sf):
     return shown(df, ID, DATE, F.size("BUFFER").cast("long").alias("held"), F.element_at("BUFFER", 1).alias("oldest"), F.element_at("BUFFER", -1).alias("newest"))
 
 
-@query()
+_YEAR = """where "DATE" between date '1997-01-01' and date '1997-12-31'"""
+
+
+@query(_with("univ", f""", {_RATES}, y as (select *, row_number() over (partition by SECURITY_ID order by "DATE") k, lag(px) over (partition by SECURITY_ID order by "DATE") before from prices {_YEAR})
+select 'universe' as name, count(*) as n from univ union all select 'prices', count(*) from y union all select 'fundamentals', count(*) from y union all select 'returns', count(*) from y where px / nullif(before, 0) is not null
+union all select 'exchange_rates', count(*) from rates where d between date '1997-01-01' and date '1997-12-31' union all select 'market_value', count(*) from y union all select 'enterprise_value', count(*) from y"""))
 def all_data_counts(spark, sf):
-    """Rows of a sample's tables; which securities are sampled depends on the hash."""
-    t = _tables(spark, sf)
-    none = t["prices"].limit(0).select(ID, DATE)
-    house = _house_with(spark, sf, exchange_rates=none.select(DATE).withColumns({"CURRENCY": F.lit(""), fx.RATE: F.lit(1.0)}), market_value=none, enterprise_value=none)
-    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("name"), "n") for k, df in house.all_data("1997-01-01", "1997-12-31").items()]
-    out = parts[0]
-    for c in parts[1:]:
-        out = out.unionByName(c)
-    return out
+    """Rows of the seven tables, for all securities."""
+    house = _house_with(spark, sf, **_values(spark, sf))
+    house.config = type(CFG)(min_date="1990-01-01", max_stocks=None)
+    return _counts(house.all_data("1997-01-01", "1997-12-31"))
 
 
-@query()
+@query("select least(50, count(*)) as n, least(50, count(*)) as n_distinct, least(50, count(*)) as n_known, true as again from supplier")
 def sample_ids(spark, sf):
-    return _warehouse(spark, sf).sample_ids(50)
+    """A seeded sample of securities: how many, how many of them different and in the universe, and whether a second run has the same."""
+    house = _warehouse(spark, sf)
+    sample, again, all_ = cut(house.sample_ids(50), "sample"), house.sample_ids(50), house.universe().select(ID)
+    told = sample.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(ID).alias("n_distinct"), F.sort_array(F.collect_list(ID)).alias("_ids"))
+    known = sample.join(all_, ID, "left_semi").agg(F.count(F.lit(1)).alias("n_known"))
+    twice = again.agg(F.sort_array(F.collect_list(ID)).alias("_again"))
+    return told.join(known, F.lit(True)).join(twice, F.lit(True)).select("n", "n_distinct", "n_known", (F.col("_ids") == F.col("_again")).alias("again"))
+
+
+@query(_with("prices", """select SECURITY_ID, count(*) as n, round(max(px), 6) + 0.0 as high from prices where px > 1000.0::double group by 1"""))
+def warehouse_sql(spark, sf):
+    """An SQL text with a bound value, in an open session on the warehouse."""
+    with _warehouse(spark, sf) as house:
+        house.table("prices").createOrReplaceTempView("weekly_prices")
+        return house.query(f"select {ID}, count(*) as n, round(max(ADJUSTED_PRICE), 6) + 0.0 as high from weekly_prices where ADJUSTED_PRICE > :least group by 1", least=1000.0)
+
+
+@query(_with("fund", f"""select SECURITY_ID, {_DAY}, round(cogs, 4) as COGS_LTM from fund where SECURITY_ID in ('S2', 'S4') and "DATE" between date '1996-01-01' and date '1997-12-31'"""))
+def fundamentals_ids(spark, sf):
+    ids = spark.createDataFrame([("S2",), ("S4",), ("S2",)], "FACTSET_ID string")
+    return _warehouse(spark, sf).fundamentals("1996-01-01", "1997-12-31", ids).select(ID, iso(DATE).alias(DATE), F.round("COGS_LTM", 4).alias("COGS_LTM"))
+
+
+@query(f"with {_RATES} select strftime(d, '%Y-%m-%d') as DATE, ['EUR', 'GBP', 'JPY'][1 + cast(c as integer)] as CURRENCY, round(rate, 9) + 0.0 as EXCHANGE_RATE_TO_USD from rates where d between date '1996-01-01' and date '1996-06-30'")
+def exchange_rates(spark, sf):
+    """Renamed columns in a range of days; a warehouse without the table gives none."""
+    rates = _house_with(spark, sf, exchange_rates=_values(spark, sf)["exchange_rates"]).exchange_rates("1996-01-01", "1996-06-30")
+    every = rates.unionByName(_warehouse(spark, sf).exchange_rates("1996-01-01", "1996-06-30").select(*rates.columns))
+    return every.select(iso(DATE).alias(DATE), "CURRENCY", (F.round(fx.RATE, 9) + 0.0).alias(fx.RATE))
+
+
+@query(_with("prices", f"""select SECURITY_ID, {_DAY}, round(px * vol * 1.2::double, 4) as ENTERPRISE_VALUE from prices where SECURITY_ID in ('S2', 'S4') and "DATE" between date '1996-01-01' and date '1997-12-31'"""))
+def enterprise_value_filter(spark, sf):
+    house = _house_with(spark, sf, enterprise_value=_values(spark, sf)["enterprise_value"])
+    return house.enterprise_value("1996-01-01", "1997-12-31", ["S2", "S4"]).select(ID, iso(DATE).alias(DATE), F.round("ENTERPRISE_VALUE", 4).alias("ENTERPRISE_VALUE"))
+
+
+_BUNDLE = "between date '1998-01-05' - interval 400 days and date '1998-03-31'"
+
+
+@query(_with("univ", f"""select 'prices' as name, count(*) as n, strftime(min("DATE"), '%Y-%m-%d') as first_date, strftime(max("DATE"), '%Y-%m-%d') as last_date from prices where "DATE" {_BUNDLE}
+union all select 'returns', count(*), strftime(min("DATE"), '%Y-%m-%d'), strftime(max("DATE"), '%Y-%m-%d') from (select "DATE", px / nullif(lag(px) over (partition by SECURITY_ID order by "DATE"), 0) - 1 r from prices where "DATE" {_BUNDLE}) where r is not null
+union all select 'fundamentals', count(*), strftime(min("DATE"), '%Y-%m-%d'), strftime(max("DATE"), '%Y-%m-%d') from prices where "DATE" between date '1998-01-05' and date '1998-03-31' union all select 'universe', count(*), null, null from univ"""))
+def model_bundle(spark, sf):
+    """What a model run of a quarter reads: 400 days of look-back for prices and returns."""
+    out = []
+    for name, df in _warehouse(spark, sf).model_tables("1998-01-05", "1998-03-31").items():
+        day = F.col(DATE) if DATE in df.columns else F.lit(None).cast("date")
+        out.append(df.agg(F.count(F.lit(1)).alias("n"), iso(F.min(day)).alias("first_date"), iso(F.max(day)).alias("last_date")).select(F.lit(name).alias("name"), "n", "first_date", "last_date"))
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+def _folder(spark, name: str) -> str:
+    return f"{shared_dir(spark)}/quillon-{name}-{uuid.uuid4().hex}"
+
+
+@query(_with("univ", f"""select 'prices' as name, SECURITY_ID, {_DAY}, round(px, 6) + 0.0 as value from prices where "DATE" {_BUNDLE} union all select 'fundamentals', SECURITY_ID, {_DAY}, round(s_ltm, 6) + 0.0 from fund where "DATE" between date '1998-01-05' and date '1998-03-31'
+union all select 'universe', SECURITY_ID, SECTOR, null from univ"""))
+def download(spark, sf):
+    """Tables written by year and read again from the folder."""
+    folder = _folder(spark, "download")
+    _warehouse(spark, sf).download("1998-01-05", "1998-03-31", folder)
+    with Warehouse(spark, folder=folder, config=type(CFG)(min_date="1990-01-01")) as house:
+        prices, fundamentals = (shown(df, F.lit(k).alias("name"), ID, DATE, F.col(c).alias("value")) for k, df, c in (("prices", house.prices(), "ADJUSTED_PRICE"), ("fundamentals", house.fundamentals(), "SALES_LTM")))
+        return prices.unionByName(fundamentals).unionByName(house.universe().select(F.lit("universe").alias("name"), ID, F.col("SECTOR").alias(DATE), F.lit(None).cast("double").alias("value")))
+
+
+@query(_with("univ", f"""select SECURITY_ID, n_name as COUNTRY, SECTOR from univ join (select concat('S', s_suppkey) k, n_name from supplier join nation on s_nationkey = n_nationkey) on k = SECURITY_ID"""))
+def universe_csv(spark, sf):
+    """The universe from CSV, where the folder has no Parquet table of it."""
+    folder = _folder(spark, "csv")
+    _tables(spark, sf)["universe"].select(ID, "COUNTRY", "SECTOR").write.option("header", True).csv(f"{folder}/universe.csv")
+    return Warehouse(spark, folder=folder).universe().select(ID, "COUNTRY", "SECTOR")
 
 
 # Returns and rolling features
@@ -315,17 +400,41 @@ for _name in crosssection.ROLLING:
     _rolling_query(_name)
 
 
+DAILY = ModelConfig()
+
+
+@query(_with("feed", ", " + _rolled(DAILY) + f" select SECURITY_ID, {_DAY}, {_rounded(*crosssection.ROLLING)} from rolled where MOMENTUM is not null or VOLATILITY is not null or LIQUIDITY is not null"))
+def rolling_daily_settings(spark, sf):
+    """The rolling features with the windows of daily production (252 and 21 returns, ten more in the buffer)."""
+    t = _tables(spark, sf)
+    some = F.coalesce(*crosssection.ROLLING).isNotNull()
+    return shown(rolling.rolling_features(t["returns"], t["prices"], DAILY).filter(some))
+
+
+@query(_with("rolled", f"select SECURITY_ID, {_DAY}, {_rounded(*crosssection.ROLLING)} from rolled"))
+def rolling_stream(spark, sf):
+    """The same features from a stream of observations, with a ring of values as each security's state."""
+    folder = _folder(spark, "stream")
+    _feed(spark, sf).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(f"{ID} string, {DATE} date, ONE_DAY_PCT double, DOLLAR_VOLUME double").parquet(f"{folder}/in")
+    running = streaming.rolling_stream(stream, CFG).writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start(f"{folder}/out")
+    running.awaitTermination()
+    out = spark.read.schema(streaming.OUTPUT).parquet(f"{folder}/out")
+    return shown(out.select(ID, DATE, *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in crosssection.ROLLING]))
+
+
+@query(f"select strftime(current_date - {2 * DAILY.volatility}, '%Y-%m-%d') as first_day, strftime(current_date, '%Y-%m-%d') as last_day")
+def lookback_range(spark, sf):
+    first, last = calendar.lookback(DAILY.volatility)
+    return shown(spark.range(1).select(first.alias("first_day"), last.alias("last_day")))
+
+
 def _panel(spark, sf):
     t = _tables(spark, sf)
     rows = ch.characteristics(t["fundamentals"], t["universe"], t["prices"])
     return rolling.as_of(rows, rolling.rolling_features(t["returns"], t["prices"], CFG), *crosssection.ROLLING)
 
 
-def _written_panel(spark, sf):
-    """The panel as a table: each statistic by date reads it once more."""
-    return cut(_panel(spark, sf), "panel")
-
-
 @query(_with("panel", f"select SECURITY_ID, {_DAY}, {_rounded(*crosssection.ROLLING)} from panel"))
 def rolling_asof(spark, sf):
     return shown(_panel(spark, sf), ID, DATE, *crosssection.ROLLING)
@@ -350,14 +459,14 @@ def _chars(spark, sf):
 _char_query("value_chars", ch.VALUE, "chars", _chars)
 _char_query("profitability_chars", ch.PROFITABILITY, "chars", _chars)
 _char_query("growth_chars", ch.GROWTH, "chars", _chars)
-_char_query("winsorize", crosssection.CHARACTERISTICS, "wins", lambda s, f: crosssection.winsorize(_written_panel(s, f), crosssection.CHARACTERISTICS, CFG.winsor))
-_char_query("zscore", crosssection.CHARACTERISTICS, "zs", lambda s, f: crosssection.zscore(crosssection.winsorize(_written_panel(s, f), crosssection.CHARACTERISTICS, CFG.winsor), crosssection.CHARACTERISTICS))
-_char_query("style_composites", crosssection.STYLES, "styles", lambda s, f: crosssection.style_exposures(_written_panel(s, f), CFG))
+_char_query("winsorize", crosssection.CHARACTERISTICS, "wins", lambda s, f: crosssection.winsorize(_panel(s, f), crosssection.CHARACTERISTICS, CFG.winsor))
+_char_query("zscore", crosssection.CHARACTERISTICS, "zs", lambda s, f: crosssection.zscore(crosssection.winsorize(_panel(s, f), crosssection.CHARACTERISTICS, CFG.winsor), crosssection.CHARACTERISTICS))
+_char_query("style_composites", crosssection.STYLES, "styles", lambda s, f: crosssection.style_exposures(_panel(s, f), CFG))
 
 
 @query(_with("styles", """select strftime("DATE", '%Y-%m-%d') as DATE, count(VALUE) as n, round(avg(VALUE), 6) + 0.0 as mean, round(stddev_samp(VALUE), 6) + 0.0 as deviation from styles group by 1"""))
 def zscore_invariants(spark, sf):
-    df = crosssection.style_exposures(_written_panel(spark, sf), CFG)
+    df = crosssection.style_exposures(_panel(spark, sf), CFG)
     return shown(df.groupBy(DATE).agg(F.count("VALUE").alias("n"), F.avg("VALUE").alias("mean"), F.stddev_samp("VALUE").alias("deviation")))
 
 
@@ -403,15 +512,31 @@ def exposure_diagnostics(spark, sf):
     return shown(metadata.diagnostics(build_exposures(_tables(spark, sf), CFG).long()))
 
 
+_QUARTERS = (("1998-01-01", "1998-03-31"), ("1998-04-01", "1998-06-30"))
+
+
+@query(_with("dum", f"select {_DAY}, SECURITY_ID, f as FACTOR_NAME, round(x, 6) + 0.0 as EXPOSURE from {_LONG} where \"DATE\" between date '{_QUARTERS[0][0]}' and date '{_QUARTERS[1][1]}'"))
+def exposures_by_quarter(spark, sf):
+    """Two quarters, each built by itself after a warm-up on the rows before it, one after the other."""
+    parts = [build_exposures(_tables(spark, sf), CFG, *q).long() for q in _QUARTERS]
+    return shown(parts[0].unionByName(parts[1]).drop("MODEL"))
+
+
+@query(_with("styles", f"""select SECURITY_ID, {_DAY}, round(r, 6) + 0.0 as ONE_DAY_PCT from rets where "DATE" in (select "DATE" from styles)"""))
+def returns_on_exposure_dates(spark, sf):
+    t = _tables(spark, sf)
+    return shown(t["returns"].join(_panel(spark, sf).select(DATE).distinct(), DATE, "left_semi"), ID, DATE, "ONE_DAY_PCT")
+
+
 # Factor returns, covariance, risk
 
 
 def _fitted(spark, sf, factors: list[str]):
-    """Two-factor inputs: long exposures, returns, factor returns; the first two have several readers."""
+    """Two-factor inputs: wide exposures, returns, factor returns; the first two have several readers."""
     t = _tables(spark, sf)
-    wide = cut(crosssection.style_exposures(_written_panel(spark, sf), CFG).select(ID, DATE, *factors), "styles")
+    wide = cut(crosssection.style_exposures(_panel(spark, sf), CFG).select(ID, DATE, *factors), "styles")
     returns = cut(t["returns"], "returns")
-    return crosssection.to_long(wide, factors, CFG.model), returns, cut(regression.factor_returns(wide, returns, factors, CFG), "factor-returns")
+    return wide, returns, cut(regression.factor_returns(wide, returns, factors, CFG), "factor-returns")
 
 
 @query(_with("fit1", f"""select '{CFG.model}' as MODEL, {_DAY}, f as FACTOR_NAME, round(x, 6) + 0.0 as RETURN from (select "DATE", 'INTERCEPT' f, a x from fit1 union all select "DATE", 'VALUE', b from fit1)"""))
@@ -443,10 +568,78 @@ def ols_orthogonality(spark, sf):
     factors = cut(regression.factor_returns(made.wide, t["returns"], live, CFG), "factor-returns")
     whole = made.wide.dropna(subset=live)
     long = crosssection.to_long(whole, live, CFG.model)
-    left = regression.specific_returns(long, t["returns"], factors, type(CFG)(subtract_intercept=True))
+    left = regression.specific_returns(whole, t["returns"], factors, type(CFG)(subtract_intercept=True))
     return shown(long.join(left, [DATE, ID]).groupBy(DATE, "FACTOR_NAME").agg(F.sum(F.col("EXPOSURE") * F.col("SPECIFIC_RETURN")).alias("dot")))
 
 
+@query(_with("dum", f"""select {_DAY}, 0.0::double as sectors, 0.0::double as places, 0.0::double as absent from (select "DATE" from styles join rets using (SECURITY_ID, "DATE") where {_WHOLE} group by 1 having count(*) >= (select count(*) from {_NAMES}) + 2)"""))
+def ols_minimum_norm(spark, sf):
+    """Of all least-squares solutions, which ``ols_orthogonality`` proves, the one of least norm: dummies of a group sum to a constant
+    by construction, so its returns sum to zero in each group, and a value that is absent on a date has none."""
+    made = _exposures(spark, sf)
+    live = live_factors(made)
+    returns = _tables(spark, sf)["returns"]
+    factors = regression.factor_returns(made.wide, returns, live, CFG)
+    rows = made.wide.dropna(subset=live).join(returns, [ID, DATE])
+    absent = [f for f in live if f.startswith(("SECTOR_", "CONTINENT_"))]
+    there = rows.groupBy(DATE).agg(*[(F.max(F.abs(f)) == 0).alias(f) for f in absent])
+    there = there.select(DATE, F.filter(F.array(*[F.when(F.col(f), F.lit(f)) for f in absent]), lambda x: x.isNotNull()).alias("gone"))
+    of = lambda prefix: F.sum(F.when(F.col("FACTOR_NAME").startswith(prefix), F.col("RETURN")).otherwise(0.0))
+    none = F.max(F.when(F.array_contains("gone", F.col("FACTOR_NAME")), F.abs("RETURN")).otherwise(0.0))
+    return shown(factors.join(there, DATE).groupBy(DATE).agg(of("SECTOR_").alias("sectors"), of("CONTINENT_").alias("places"), none.alias("absent")))
+
+
+@query(_with("dum", f"""select {_DAY}, count(*) as n, (select count(*) from {_NAMES}) + 1 as n_coefficients from styles join rets using (SECURITY_ID, "DATE") where {_WHOLE} group by 1, "DATE" having count(*) >= (select count(*) from {_NAMES}) + 2"""))
+def complete_cases(spark, sf):
+    """Dates with a regression on all factors: their complete rows, and coefficients, as many on every date."""
+    made = _exposures(spark, sf)
+    live, returns = live_factors(made), _tables(spark, sf)["returns"]
+    factors = regression.factor_returns(made.wide, returns, live, CFG).groupBy(DATE).agg(F.count(F.lit(1)).alias("n_coefficients"))
+    rows = made.wide.dropna(subset=live).join(returns, [ID, DATE]).groupBy(DATE).agg(F.count(F.lit(1)).alias("n"))
+    return shown(rows.join(factors, DATE), DATE, "n", "n_coefficients")
+
+
+def _whole_model(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Inputs on all factors: wide exposures, returns, factor returns."""
+    made = _exposures(spark, sf)
+    returns = cut(_tables(spark, sf)["returns"], "returns")
+    return made.wide, returns, cut(regression.factor_returns(made.wide, returns, live_factors(made), CFG), "factor-returns")
+
+
+@query()
+def specific_returns_full(spark, sf):
+    return shown(regression.specific_returns(*_whole_model(spark, sf), CFG))
+
+
+@query()
+def factor_covariance_full(spark, sf):
+    return shown(covariance.factor_covariance(_whole_model(spark, sf)[2], CFG))
+
+
+@query()
+def specific_risk_full(spark, sf):
+    return shown(covariance.specific_risk(*_whole_model(spark, sf), CFG))
+
+
+@query(_with("dum", f"""select file, n, 0 as n_unordered from (select count(*) n from {_LONG} where "DATE" between date '{_QUARTERS[0][0]}' and date '{_QUARTERS[0][1]}') join (select unnest(['exposures.csv', 'exposures.parquet']) as file) on true"""))
+def sorted_outputs(spark, sf):
+    """A run's exposures, written in both formats and read again: rows, and those that aren't in order of date, security and factor
+    within their file or between files."""
+    folder = _folder(spark, "outputs")
+    write_outputs({"exposures": build_exposures(_tables(spark, sf), CFG, *_QUARTERS[0]).long().withColumn(DATE, iso(DATE))}, folder)
+    parts = []
+    for kind in ("csv", "parquet"):
+        df = spark.read.schema(OUTPUTS["exposures"]).options(header=True).format(kind).load(f"{folder}/exposures.{kind}")
+        key = F.struct(DATE, ID, "FACTOR_NAME").alias("key")
+        placed = df.select(key, F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("place"))
+        w = Window.partitionBy("file").orderBy("place")
+        inside = placed.withColumn("before", F.lag("key").over(w)).groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("before") > F.col("key")).cast("long")).alias("bad"), F.min("key").alias("low"), F.max("key").alias("high"))
+        # A row for each file: the one window without a key sees no more.
+        between = inside.withColumn("previous", F.lag("high").over(Window.orderBy("file")))
+        parts.append(between.agg(F.sum("n").alias("n"), F.sum(F.coalesce("bad", F.lit(0)) + F.coalesce((F.col("previous") > F.col("low")).cast("long"), F.lit(0))).alias("n_unordered")).select(F.lit(f"exposures.{kind}").alias("file"), "n", "n_unordered"))
+    return parts[0].unionByName(parts[1])
+
+
 @query(_with("spec", f"select '{CFG.model}' as MODEL, {_DAY}, SECURITY_ID, round(e, 6) + 0.0 as SPECIFIC_RETURN from spec"))
 def specific_returns(spark, sf):
     return shown(regression.specific_returns(*_fitted(spark, sf, ["VALUE", "GROWTH"]), CFG))
@@ -466,8 +659,8 @@ def total_variance(spark, sf):
 
 @query(_with("fv", f"select SECURITY_ID, {_DAY}, round(v, 6) + 0.0 as FACTOR_VAR from fv"))
 def factor_variance(spark, sf):
-    long, _, factors = _fitted(spark, sf, ["VALUE", "GROWTH"])
-    return shown(covariance.factor_variance(long, factors, CFG))
+    wide, _, factors = _fitted(spark, sf, ["VALUE", "GROWTH"])
+    return shown(covariance.factor_variance(wide, factors, CFG))
 
 
 _SPECIFIC = f"greatest(t - case when greatest(coalesce(f, 0), 0) >= t then {CFG.risk_cap}::double * t else greatest(coalesce(f, 0), 0) end, {CFG.risk_floor}::double * t, {CFG.risk_epsilon}::double)"

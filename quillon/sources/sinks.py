@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from quillon.plans.lineage import cut
 from quillon.sources.schemas import DATE
 
 #: The tables of a run and the files they become; specific variance goes to two.
@@ -15,7 +16,7 @@ def write_outputs(outputs: dict[str, DataFrame], folder: str, formats: tuple[str
     for name, files in FILES.items():
         if name not in outputs:
             continue
-        df = outputs[name]
+        df = cut(outputs[name], name)  # computed once, whatever the files and formats
         keys = [c for c in (DATE, "SECURITY_ID", "FACTOR_NAME", "FACTOR_NAME_1", "FACTOR_NAME_2") if c in df.columns]
         if keys:
             df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)

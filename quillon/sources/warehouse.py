@@ -169,7 +169,8 @@ class Warehouse:
         return ids if n is None else ids.orderBy(F.xxhash64(ID, F.lit(self.config.sample_seed)), ID).limit(n)
 
     def all_data(self, start: Day, end: Day) -> dict[str, DataFrame]:
-        """The seven tables, for a sample of securities if the universe is larger than the configuration allows."""
+        """The seven tables; if the universe has more securities than ``config.max_stocks`` (500 by default, None for all), those of
+        a seeded sample of that many."""
         ids = self.sample_ids()
         return {
             "universe": self.universe(ids), "prices": self.prices(start, end, ids), "fundamentals": self.fundamentals(start, end, ids), "returns": daily_returns(self.prices(start, end, ids)),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.operators.returns import daily_returns
+from quillon.plans.lineage import cut
 from quillon.sources.schemas import DATE, ID
 
 #: Sector names by supplier number modulo their count.
@@ -21,7 +22,8 @@ def weekly_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     total = lines.groupBy(F.col("l_suppkey").alias("k"), week.alias(DATE)).agg(
         F.sum("l_extendedprice").alias("ext"), F.sum("l_quantity").alias("qty"), F.sum(net).alias("s_ltm"), F.sum(net * (1 + F.col("l_tax"))).alias("s_ntm"), F.sum(F.col("l_quantity") * F.col("p_retailprice")).alias("cogs")
     )
-    total = total.withColumn(ID, F.concat(F.lit("S"), F.col("k").cast("string")))
+    # Every table reads these totals, so they are written once.
+    total = cut(total, "weekly").withColumn(ID, F.concat(F.lit("S"), F.col("k").cast("string")))
     prices = total.select(ID, DATE, F.try_divide("ext", "qty").alias("ADJUSTED_PRICE"), F.col("qty").alias("ADJUSTED_VOLUME"), F.lit("USD").alias("CURRENCY"), F.lit(False).alias("IS_HOLIDAY"))
     ltm, ntm = F.col("s_ltm") - F.col("cogs"), F.col("s_ntm") - F.col("cogs")
     fundamentals = total.select(ID, DATE, F.col("s_ltm").alias("SALES_LTM"), F.col("s_ntm").alias("SALES_NTM"), F.col("cogs").alias("COGS_LTM"), ltm.alias("EBITDA_LTM"), ntm.alias("EBITDA_NTM"), F.try_divide(ltm, "qty").alias("EPS_LTM"), F.try_divide(ntm, "qty").alias("EPS_NTM"))

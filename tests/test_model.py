@@ -233,3 +233,71 @@ def test_cut_tables_go_with_clear(spark):
     assert made.count() == 3 and os.path.isdir(path)
     lineage.clear(spark)
     assert not os.path.exists(path) and not lineage._WRITTEN
+
+
+def test_command_line(spark, tmp_path):
+    from quillon.__main__ import main
+
+    rng = np.random.default_rng(4)
+    ids, days = [f"S{k}" for k in range(12)], [day(k) for k in range(90)]
+    spark.createDataFrame([(i, d, float(rng.uniform(5, 9)), 5.0, False) for i in ids for d in days], "SECURITY_ID string, DATE date, ADJUSTED_PRICE double, ADJUSTED_VOLUME double, IS_HOLIDAY boolean").write.parquet(f"{tmp_path}/prices.parquet")
+    names = ("SALES_LTM", "SALES_NTM", "COGS_LTM", "EBITDA_LTM", "EBITDA_NTM", "EPS_LTM", "EPS_NTM")
+    spark.createDataFrame([(i, d, *map(float, rng.uniform(1, 9, 7))) for i in ids for d in days], f"SECURITY_ID string, DATE date, {', '.join(f'{n} double' for n in names)}").write.parquet(f"{tmp_path}/fundamentals.parquet")
+    spark.createDataFrame([(i, "Canada" if k % 2 else "Japan", "Tech" if k % 3 else "Energy") for k, i in enumerate(ids)], "SECURITY_ID string, COUNTRY string, SECTOR string").write.parquet(f"{tmp_path}/universe.parquet")
+    main(["--start", str(days[60]), "--end", str(days[-1]), "--data", str(tmp_path), "--output", f"{tmp_path}/out"])
+    exposures = spark.read.parquet(f"{tmp_path}/out/exposures.parquet")
+    assert exposures.select("DATE").distinct().count() == 30
+    assert {r[0] for r in exposures.select("FACTOR_NAME").distinct().collect()} >= {"VALUE", "VOLATILITY", "SECTOR_Tech", "CONTINENT_Asia_Developed"}
+    with pytest.raises(NotImplementedError):
+        main(["--neutralize"])
+
+
+def test_specific_risk_skips_and_unknown_covariance(spark):
+    """By hand: a security that knows no factor with returns has no row; an unknown covariance makes the whole factor variance zero."""
+    cfg = ModelConfig(risk=4, covariance_least=2)
+    rng = np.random.default_rng(5)
+    r, fr = rng.normal(0, 0.02, (4, 3)), rng.normal(0, 0.01, (4, 2))
+    factors = spark.createDataFrame([("M", day(k), n, float(fr[k, j])) for k in range(4) for j, n in enumerate("AB") if (n, k) not in (("B", 0), ("B", 1), ("B", 2))], "MODEL string, DATE date, FACTOR_NAME string, RETURN double")
+    ret = spark.createDataFrame([(str(s), day(k), float(r[k, s])) for k in range(4) for s in range(3)], "SECURITY_ID string, DATE date, ONE_DAY_PCT double")
+    wide = spark.createDataFrame([(str(s), day(3), *x) for s, x in enumerate([(1.5, None, 7.0), (None, None, 7.0), (1.5, 2.0, None)])], "SECURITY_ID string, DATE date, A double, B double, WITHOUT_RETURNS double")
+    got = {x.SECURITY_ID: x.SPECIFIC_VAR for x in covariance.specific_risk(wide, ret, factors, cfg).collect()}
+    total = [np.var(r[:, s], ddof=1) for s in range(3)]
+    form = 1.5**2 * np.var(fr[:, 0], ddof=1)
+    assert got.keys() == {"0", "2"}
+    assert np.isclose(got["0"], max(total[0] - (0.95 * total[0] if form >= total[0] else form), 0.01 * total[0])) and np.isclose(got["2"], total[2])
+
+
+def test_whole_model_against_numpy(spark):
+    """All kinds of factors, dummies that are linearly dependent: returns, specific returns, covariance and risk by numpy."""
+    rng = np.random.default_rng(9)
+    n, days, names = 30, 14, ["VALUE", "GROWTH", "SECTOR_a", "SECTOR_b", "SECTOR_c", "CONTINENT_x", "CONTINENT_y"]
+    sector, place = rng.integers(0, 3, n), rng.integers(0, 2, n)
+    beta = np.zeros((days, n, 7))
+    beta[:, :, :2] = rng.normal(size=(days, n, 2))
+    for k in range(3):
+        beta[:, :, 2 + k] = (sector == k) - (sector == k).mean()
+    for k in range(2):
+        beta[:, :, 5 + k] = (place == k) - (place == k).mean()
+    r = rng.normal(0, 0.02, (days, n))
+    wide = spark.createDataFrame([(f"S{s:02}", day(d), *map(float, beta[d, s])) for d in range(days) for s in range(n)], f"SECURITY_ID string, DATE date, {', '.join(f'{x} double' for x in names)}").repartition(5)
+    ret = spark.createDataFrame([(f"S{s:02}", day(d), float(r[d, s])) for d in range(days) for s in range(n)], "SECURITY_ID string, DATE date, ONE_DAY_PCT double").repartition(3)
+    cfg = ModelConfig(covariance=6, covariance_least=3, risk=6)
+    factors = regression.factor_returns(wide, ret, names, cfg).cache()
+    got = {(x.DATE, x.FACTOR_NAME): x.RETURN for x in factors.collect()}
+    want = np.array([np.linalg.pinv(np.column_stack([np.ones(n), beta[d]])) @ r[d] for d in range(days)])
+    assert np.allclose([[got[day(d), f] for f in ["INTERCEPT", *names]] for d in range(days)], want)
+    left = {(x.DATE, x.SECURITY_ID): x.SPECIFIC_RETURN for x in regression.specific_returns(wide, ret, factors, cfg).collect()}
+    assert np.allclose([[left[day(d), f"S{s:02}"] for s in range(n)] for d in range(days)], r - np.einsum("dsf,df->ds", beta, want[:, 1:]))
+    cov = {(x.DATE, x.FACTOR_NAME_1, x.FACTOR_NAME_2): x.COVARIANCE for x in covariance.factor_covariance(factors, cfg).collect()}
+    every = ["INTERCEPT", *names]
+    assert len(cov) == (days - 2) * 36
+    for d in range(2, days):
+        sigma = np.cov(want[max(0, d - 5) : d + 1].T)
+        assert all(np.isclose(cov[day(d), *sorted((every[i], every[j]))], sigma[i, j], atol=1e-15) for i in range(8) for j in range(8))
+    risk = {(x.DATE, x.SECURITY_ID): x.SPECIFIC_VAR for x in covariance.specific_risk(wide, ret, factors, cfg).collect()}
+    assert len(risk) == (days - 5) * n
+    for d in range(5, days):
+        sigma = np.cov(want[d - 5 : d + 1, 1:].T)
+        for s in range(n):
+            total, form = np.var(r[d - 5 : d + 1, s], ddof=1), beta[d, s] @ sigma @ beta[d, s]
+            assert np.isclose(risk[day(d), f"S{s:02}"], max(total - (0.95 * total if form >= total else form), 0.01 * total, 1e-8))
