@@ -20,7 +20,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
-    return decontam.digest(decontam.match_phrases(docs.select("doc_id", "text"), items))
+    return decontam.digest(decontam.match(docs.select("doc_id", "text"), items))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

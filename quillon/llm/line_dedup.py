@@ -13,11 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillon.llm.url_filter import host_and_path
 from quillon.plans.lineage import BROADCAST_BYTES, cut, measured_bytes
 
 #: Anything but ASCII white space.
 WORD_CHAR = r"[^\x20\x09-\x0D]"
 SALTS = 32
+#: The share of a site's pages beyond which a line is boilerplate, in per cent: well above what lines come to by chance (README).
+RATIO_PCT = 7
 
 
 def _site(site: str) -> Column:
@@ -34,12 +37,13 @@ def boilerplate_lines(docs: DataFrame, text: str, site: str, ratio_pct: int, min
     return over.groupBy("_site").agg(F.collect_set("_line").alias("_lines"))
 
 
-def line_dedup(docs: DataFrame, text: str = "text", site: str = "source", ratio_pct: int = 10, min_pages: int = 5) -> DataFrame:
+def line_dedup(docs: DataFrame, text: str = "text", site: str = "source", ratio_pct: int = RATIO_PCT, min_pages: int = 5) -> DataFrame:
     """``docs`` with its boilerplate lines deleted from ``text``; adds ``n_lines`` and ``n_dropped`` (long).
 
     Null text stays null with no lines; blank lines are never boilerplate; a page counts once for a line that it repeats,
-    but loses every repetition; pages without a site form one site of their own; repeated rows count as pages each. An
-    empty table gives an empty one. Columns that are called ``n_lines`` or ``n_dropped`` already are replaced.
+    but loses every repetition; pages without a site form one site of their own; repeated rows count as pages each; a line
+    exactly at the ratio stays. Texts of any length are read whole. An empty table gives an empty one. Columns that are called
+    ``n_lines`` or ``n_dropped`` already are replaced.
     """
     found = cut(boilerplate_lines(docs, text, site, ratio_pct, min_pages), "boilerplate")
     docs = docs.drop("n_lines", "n_dropped").withColumn("_site", _site(site))
@@ -54,3 +58,9 @@ def line_dedup(docs: DataFrame, text: str = "text", site: str = "source", ratio_
     out = out.withColumn("n_dropped", F.when(F.col("_kept").isNotNull(), F.col("n_lines") - F.size("_kept")).otherwise(F.lit(0)).cast("long"))
     # A page may lose all its lines: the join of none is the empty text.
     return out.withColumn(text, F.when(F.col("_kept").isNotNull(), F.array_join("_kept", "\n")).otherwise(F.col(text))).drop("_kept", "_lines", "_site")
+
+
+def dedup_by_host(pages: DataFrame, url: str = "url", text: str = "text", **more) -> DataFrame:
+    """``line_dedup`` of web pages' texts, the site being the host of the URL (lower case; null and URLs without one are one site)."""
+    host, _ = host_and_path(F.col(url))
+    return line_dedup(pages.withColumn("_host", host), text, "_host", **more).drop("_host")
