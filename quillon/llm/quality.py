@@ -3,7 +3,8 @@
 The counts of the base rules are computed for every text with numpy over whole batches. Further rules are judged one after
 another, each only for texts that all earlier ones let pass. Their order comes from a sample: a rule's cost is its time for
 a text, its selectivity the share that it rejects, and rules go by rejections per second. The order changes the cost and
-never the verdict. One scan and one map: nothing is shuffled.
+never the verdict. The sample is measured where its texts lie, so that the driver sees sums alone; then one scan and one map
+judge all texts: nothing else is shuffled.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.sql import functions as F
 
 from quillon.llm import textkernel
 
-#: Texts on which costs and selectivities are estimated.
+#: Texts on which costs and selectivities are estimated, about: a share of the hashes.
 SAMPLE = 500
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LETTERS = re.compile(r"[^\W\d_]")
 _ODD_LINES = re.compile(r"(?m)^[ \t]*[-*•]")
 _DOTS = re.compile(r"(?m)(?:…|\.\.\.)[ \t]*$")
@@ -41,7 +43,7 @@ def _repeated_lines(text: str, c: dict) -> bool:
 
 
 def _few_letters(text: str, c: dict) -> bool:
-    return sum(1 for w in text.split() if _LETTERS.search(w)) < 0.6 * c["n_words"]
+    return sum(1 for w in _WORD.findall(text) if _LETTERS.search(w)) < 0.6 * c["n_words"]
 
 
 def _bullets(text: str, c: dict) -> bool:
@@ -101,17 +103,30 @@ def base_failed(counts: np.ndarray) -> np.ndarray:
     return (counts[:, 0] < 50) | (100 * counts[:, 4] > 50 * counts[:, 0])
 
 
-def ordered_rules(texts: list[str]) -> list[tuple[str, float, float]]:
-    """(rule, seconds a text, share rejected) of the sample, in order of rejections per second; ties by name."""
-    column = pa.array(texts, pa.string())
-    counts = counted(column)
-    told = [dict(zip(COUNTS, map(int, c), strict=True)) for c in counts]
-    out = []
-    for name, rule in RULES.items():
-        began = time.perf_counter()
-        rejected = sum(rule(t, c) for t, c in zip(texts, told, strict=True))
-        out.append((name, (time.perf_counter() - began) / max(len(texts), 1), rejected / max(len(texts), 1)))
-    return sorted(out, key=lambda x: (-x[2] / max(x[1], 1e-9), x[1], x[0]))
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's sample: rows (rule, texts, seconds, rejected), of the texts that the cascade would see."""
+    told = {name: [0, 0.0, 0] for name in RULES}
+    for batch in batches:
+        column = batch.column(0)
+        counts = counted(column)
+        for k in np.flatnonzero(~base_failed(counts)):
+            text, own = column[int(k)].as_py(), dict(zip(COUNTS, map(int, counts[k]), strict=True))
+            for name, rule in RULES.items():
+                began = time.perf_counter()
+                rejected = rule(text, own)
+                told[name] = [told[name][0] + 1, told[name][1] + time.perf_counter() - began, told[name][2] + bool(rejected)]
+    yield pa.RecordBatch.from_pydict({"rule": list(told), **{c: [v[k] for v in told.values()] for k, c in enumerate(("texts", "seconds", "rejected"))}})
+
+
+def ordered_rules(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> list[tuple[str, float, float]]:
+    """(rule, seconds a text, share rejected) on about ``sample`` texts of any length, in order of rejections per second; ties by
+    name. The texts are those of a share of the hashes."""
+    hashed = F.pmod(F.xxhash64(text), F.lit(1 << 40))
+    near = docs.select(text).filter(F.col(text).isNotNull())
+    near = near.filter(hashed < min(1 << 40, (sample << 40) // max(near.count(), 1)))
+    sums = textkernel.mapped(near, _measure, "rule string, texts long, seconds double, rejected long").groupBy("rule").agg(*[F.sum(c).alias(c) for c in ("texts", "seconds", "rejected")]).collect()
+    told = {r["rule"]: (r["seconds"] / max(r["texts"], 1), r["rejected"] / max(r["texts"], 1)) for r in sums}
+    return sorted(((name, *told.get(name, (0.0, 0.0))) for name in RULES), key=lambda x: (-x[2] / max(x[1], 1e-9), x[1], x[0]))
 
 
 def _cascade(order: list[str]):
@@ -140,14 +155,13 @@ def quality_cascade(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
     """The columns ``keep`` with COUNTS, ``base_failed``, ``kept`` and ``rejected_by`` (the first rule in the cascade's
     order that rejects; null if none does or the base fails).
 
-    Null and empty texts have no words, so the base fails. Rows are judged each by itself. The sample holds the ``sample``
-    texts with the smallest hashes, of 20,000 characters at most, and serves for the order of rules alone.
+    Null and empty texts have no words, so the base fails. Rows are judged each by itself, repeated ones alike, and texts of any
+    length whole. Ties in the order of rules go by name, and change no verdict. An empty table gives none. Columns of ``keep``
+    that are called like the results are replaced.
     """
-    near = docs.select(text).filter(F.length(text).between(1, 20_000))
-    # A share of the hashes that holds about twice the sample, so that tasks send a few texts each, however many there are.
-    hashed = F.pmod(F.xxhash64(text), F.lit(1 << 40))
-    near = near.filter(hashed < min(1 << 40, (sample * 2 << 40) // max(near.count(), 1))).orderBy(hashed, text).limit(sample)
-    order = [name for name, _, _ in ordered_rules([r[0] for r in near.collect()])]
+    keep = tuple(k for k in keep if k not in (*COUNTS, "base_failed", "kept", "rejected_by"))
+    order = [name for name, _, _ in ordered_rules(docs, text, sample)]
     kinds = dict(docs.dtypes)
     counts = ", ".join(f"{c} long" for c in COUNTS)
-    return textkernel.mapped(docs.select(text, *keep), _cascade(order), ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), counts, "base_failed boolean, kept boolean, rejected_by string"]))
+    rows = docs.select(F.col(text).alias("_text"), *keep)
+    return textkernel.mapped(rows, _cascade(order), ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), counts, "base_failed boolean, kept boolean, rejected_by string"]))

@@ -45,15 +45,12 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def suffixes(url: str) -> tuple[int, int]:
-    """Classes of the last host label and of the file suffix."""
-    rest = url.partition("://")[2]
-    for c in "?#":
-        rest = rest.partition(c)[0]
-    host, _, path = rest.partition("/")
-    name = path.rpartition("/")[2]
-    suffix = name.rpartition(".")[2] if "." in name else ""
-    return zlib.crc32(b"h" + host.lower().rpartition(".")[2].encode("utf-8", "replace")) % SUFFIXES, zlib.crc32(b"f" + suffix.lower().encode("utf-8", "replace")) % SUFFIXES
+def suffix_classes(host: Column, path: Column) -> tuple[Column, Column]:
+    """Classes of the last host label and of the file suffix (that of no suffix included)."""
+    name = F.substring_index(path, "/", -1)
+    suffix = F.when(F.contains(name, F.lit(".")), F.substring_index(name, ".", -1)).otherwise("")
+    number = lambda kind, x: (F.crc32(F.concat(F.lit(kind), F.lower(x))) % SUFFIXES).cast("int")
+    return number("h", F.substring_index(host, ".", -1)), number("f", suffix)
 
 
 def _entropy(x: bytes) -> float:
@@ -64,14 +61,13 @@ def _entropy(x: bytes) -> float:
     return float(-(p * np.log2(p)).sum())
 
 
-def features(url: str, blocked: np.ndarray) -> list[float]:
-    """The lexical features of a URL; ``blocked``: the share of blocked URLs of each suffix class."""
+def features(url: str, h: int, f: int, blocked: np.ndarray) -> list[float]:
+    """The lexical features of a URL with suffix classes h and f; ``blocked``: the share of blocked URLs of each class."""
     rest = url.partition("://")[2]
     raw = rest.encode("utf-8", "replace")
     query = rest.partition("#")[0].partition("?")[2]
     path = rest.partition("#")[0].partition("?")[0].partition("/")[2]
     host = rest.partition("/")[0]
-    h, f = suffixes(url)
     digits = sum(c.isdigit() for c in rest)
     first = path.partition("/")[0]
     return [
@@ -137,21 +133,12 @@ class Trees:
         return 1 / (1 + np.exp(-(self.start + RATE * sum(self._leaves(t, binned) for t in self.trees))))
 
 
-def _count_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (class, blocked, n) of a task."""
-    total = np.zeros((SUFFIXES, 2), np.int64)
-    for batch in batches:
-        for url, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for k in suffixes(url):
-                total[k] += (block, 1)
-    some = np.flatnonzero(total[:, 1])
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some, 0]), pa.array(total[some, 1])], names=["class", "blocked", "n"])
-
-
 def train(labelled: DataFrame, url: str = "url", label: str = "verdict", sample: int = SAMPLE) -> tuple[Trees, np.ndarray] | None:
-    """Trees and suffix statistics from URLs labelled ``allow`` or ``block``; None without any."""
-    rows = labelled.filter(F.col(label).isNotNull() & F.col(url).isNotNull()).select(F.col(url).alias("url"), (F.col(label) == "block").alias("blocked"))
-    counts = textkernel.mapped(rows, _count_suffixes, "class long, blocked long, n long").groupBy("class").agg(F.sum("blocked").alias("blocked"), F.sum("n").alias("n")).collect()
+    """Trees and suffix statistics from URLs labelled ``allow`` or ``block``; None without any. Null labels and URLs don't count; a URL
+    weighs as much as it has rows."""
+    rows = labelled.filter(F.col(label).isNotNull() & F.col(url).isNotNull()).select(F.col(url).alias("url"), (F.col(label) == "block").cast("long").alias("blocked"))
+    rows = rows.select("*", *[c.alias(k) for k, c in zip("hf", suffix_classes(*host_and_path(F.col("url"))), strict=True)])
+    counts = rows.select(F.explode(F.array("h", "f")).alias("class"), "blocked").groupBy("class").agg(F.sum("blocked").alias("blocked"), F.count(F.lit(1)).alias("n")).collect()
     if not counts:
         return None
     mean = sum(r["blocked"] for r in counts) / sum(r["n"] for r in counts)
@@ -164,14 +151,14 @@ def train(labelled: DataFrame, url: str = "url", label: str = "verdict", sample:
     distinct = max(rows.agg(F.approx_count_distinct(hashed)).first()[0], 1)
 
     def smallest(below: int) -> list:
-        some = rows.filter(hashed < below).groupBy("url", "blocked").agg(F.count(F.lit(1)).alias("n"))
+        some = rows.filter(hashed < below).groupBy("url", "blocked", "h", "f").agg(F.count(F.lit(1)).alias("n"))
         return some.orderBy(hashed, "url", "blocked").limit(sample).collect()
 
     share = min(1 << 40, (sample * 2 << 40) // distinct)
     picked = smallest(share)
     if len(picked) < sample and share < 1 << 40:
         picked = smallest(1 << 40)
-    x = np.array([features(r["url"], blocked) for r in picked], float)
+    x = np.array([features(r["url"], r["h"], r["f"], blocked) for r in picked], float)
     y, n = (np.array([r[c] for r in picked], float) for c in ("blocked", "n"))
     return Trees().fit(x, y, n), blocked
 
@@ -182,10 +169,10 @@ def _verdicts(model: tuple[Trees, np.ndarray] | None):
             urls = batch.column(0).to_pylist()
             score = np.zeros(len(urls))
             if model and urls:
-                score = model[0].score(np.array([features(u or "", model[1]) for u in urls], float))
+                h, f = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+                score = model[0].score(np.array([features(u or "", *c, model[1]) for u, *c in zip(urls, h, f, strict=True)], float))
             said = pa.array(np.where(score >= 0.5, "block", "allow"), pa.string())
-            names = [n for n in batch.schema.names[1:] if n != "verdict"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.compute.coalesce(batch.column("verdict"), said), pa.array(score)], names=[*names, "verdict", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[3:-1], pa.compute.coalesce(batch.columns[-1], said), pa.array(score)], names=[*batch.schema.names[3:-1], "verdict", "score"])
 
     return run
 
@@ -194,11 +181,13 @@ def filter_urls(pages: DataFrame, url: str = "url", keep: tuple[str, ...] = ("pa
     """The columns ``keep`` with ``host``, ``path``, ``rule``, ``verdict`` and ``score`` (the trees' chance of a block).
 
     A null URL, or one without ``://``, has an empty host and path and no rule; the trees judge it as an empty URL. Without
-    a single labelled URL the score is 0 and the verdict ``allow``. Rows are judged each by itself, so repeated rows get
-    equal results; columns other than ``keep`` don't matter.
+    a single labelled URL the score is 0 and the verdict ``allow``; at a score of exactly 0.5 it is ``block``. Rows are judged
+    each by itself, so repeated rows get equal results; URLs of any length are read whole; an empty table gives none. Columns of
+    ``keep`` that are called like the results are replaced; others don't matter.
     """
+    keep = tuple(k for k in keep if k not in ("host", "path", "rule", "verdict", "score"))
     host, path = host_and_path(F.col(url))
-    parts = pages.select(F.col(url).alias("_url"), *keep, host.alias("host"), path.alias("path"))
+    parts = pages.select(F.col(url).alias("_url"), *[c.alias(k) for k, c in zip(("_h", "_f"), suffix_classes(host, path), strict=True)], *[F.col(k) for k in keep], host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     ruled = parts.withColumns({"rule": rule, "verdict": verdict})
     model = train(ruled, "_url", "verdict")
