@@ -33,6 +33,19 @@ def decontaminated(docs, items, window=10):
         yield doc, len(words), len(hit), len(found), sha(",".join(sorted(found))), bool(hit)
 
 
+def nearby(docs, items, slop=5, least=5):
+    """{doc_id: ids of items all of whose different words stand within the item's length plus ``slop`` words}, by every stretch."""
+    out = defaultdict(set)
+    for doc, text in docs:
+        words = TERM.findall((text or "").translate(LOWER))
+        for item, item_text in items:
+            own = TERM.findall((item_text or "").translate(LOWER))
+            span = len(own) + slop
+            if len(set(own)) >= least and set(own) <= set(words) and any(set(own) <= set(words[k : k + span]) for k in range(max(1, len(words) - span + 1))):
+                out[doc].add(str(item))
+    return out
+
+
 def luhn(digits):
     total = 0
     for k, c in enumerate(reversed(digits)):
@@ -56,7 +69,7 @@ def personal(docs):
         yield doc, *(n[k] for k in kinds), sha(",".join(f"{k}:{a}:{b}" for k, a, b in found))
 
 
-def deduped_lines(docs, ratio_pct=10, min_pages=5):
+def deduped_lines(docs, ratio_pct=7, min_pages=5):
     """docs: (id, text, site). Rows (doc_id, n_lines, n_dropped, text)."""
     pages, counts = Counter(), Counter()
     for _, text, site in docs:
@@ -150,3 +163,32 @@ def targets(docs, weights=(3, 1, 2), share=1.5, most=2):
             left -= target[s]
             free.remove(s)
     return {s: (sizes[s], target[s]) for s in names}
+
+
+def kept(docs):
+    """{doc_id: whether the base and all six rules let the text pass}, one rule after another."""
+    out = {}
+    for row, (doc, text) in zip(quality(docs), docs, strict=True):
+        _, n, chars, symbols, dup_lines, _, failed = row
+        text = text or ""
+        lines = text.split("\n")
+        with_letter = sum(any(c.isalpha() for c in w) for w in WORD.findall(text))
+        bullets = sum(x.lstrip(" \t")[:1] in ("-", "*", "\u2022") and x.lstrip(" \t") != "" for x in lines)
+        dots = sum(x.rstrip(" \t").endswith(("...", "\u2026")) for x in lines)
+        fine = n and 2 <= chars / n <= 15 and symbols <= 0.3 * n and dup_lines <= 0.3 * len(lines) and with_letter >= 0.6 * n and bullets <= 0.9 * len(lines) and dots <= 0.3 * len(lines)
+        out[doc] = bool(not failed and fine)
+    return out
+
+
+def ruled(url):
+    """(host, path, rule, verdict) of a URL by the five production rules, tried one by one; the verdict is None without one."""
+    rules = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url[url.index("://") + 3 :]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    host = host.translate(LOWER)
+    fit = [r for r in rules if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[r.index("/") :])]
+    best = max(fit, key=len) if fit else None
+    return host, path, best, rules.get(best)
