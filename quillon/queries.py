@@ -296,11 +296,10 @@ def all_data_counts(spark, sf):
 def sample_ids(spark, sf):
     """A seeded sample of securities: how many, how many of them different and in the universe, and whether a second run has the same."""
     house = _warehouse(spark, sf)
-    sample, again, all_ = cut(house.sample_ids(50), "sample"), house.sample_ids(50), house.universe().select(ID)
-    told = sample.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(ID).alias("n_distinct"), F.sort_array(F.collect_list(ID)).alias("_ids"))
-    known = sample.join(all_, ID, "left_semi").agg(F.count(F.lit(1)).alias("n_known"))
-    twice = again.agg(F.sort_array(F.collect_list(ID)).alias("_again"))
-    return told.join(known, F.lit(True)).join(twice, F.lit(True)).select("n", "n_distinct", "n_known", (F.col("_ids") == F.col("_again")).alias("again"))
+    tagged = lambda df, **n: df.select(ID, *[F.lit(n.get(c, 0)).alias(c) for c in "sau"])
+    every = tagged(house.sample_ids(50), s=1).unionByName(tagged(house.sample_ids(50), a=1)).unionByName(tagged(house.universe(), u=1))
+    each = every.groupBy(ID).agg(*[F.sum(c).alias(c) for c in "sau"])
+    return each.agg(F.sum("s").alias("n"), F.count_if(F.col("s") > 0).alias("n_distinct"), F.count_if((F.col("s") > 0) & (F.col("u") > 0)).alias("n_known"), F.bool_and(F.col("s") == F.col("a")).alias("again"))
 
 
 @query(_with("prices", """select SECURITY_ID, count(*) as n, round(max(px), 6) + 0.0 as high from prices where px > 1000.0::double group by 1"""))
