@@ -62,17 +62,17 @@ _MAIN = frozenset(["article", "main"])
 _MAIN_WORDS = frozenset("main article articlebody maincontent content post entry story".split())
 #: "with-sidebar" tells what an element has, not what it is.
 _NOT_ITSELF = frozenset("with has no".split())
-#: Bits of an alignment table that is kept whole; larger ones are split.
-TABLE_BITS = 1 << 22
+#: Bits of an alignment table that is kept whole (larger ones are split), and of a row that is taken at once.
+TABLE_BITS, BLOCK = 1 << 22, 1 << 12
 
 
 @dataclass(frozen=True)
 class Line:
-    """A block's text, its place, and whether it stands in the article's element, in one that can't be article text, and in one
+    """A block's text, its place (a hash of the elements and classes to it, for comparison within a process), and whether it stands in the article's element, in one that can't be article text, and in one
     that may be (inside the article's, if there is one)."""
 
     text: str
-    place: str
+    place: int
     main: bool = False
     never: bool = False
     maybe: bool = False
@@ -81,15 +81,16 @@ class Line:
 def lines_of(page: str) -> list[Line]:
     """The lines of a page, in its order; blocks without text have none."""
     out: list[Line] = []
-    stack: list[tuple[str, str, int, int, int]] = []
+    stack: list[tuple[str, int, bool, bool, bool]] = []
     text: list[str] = []
+    opened: dict[str, int] = {}
     main = never = maybe = 0
     at, size = 0, len(page)
 
     def flush() -> None:
         if text:
             if line := " ".join(html.unescape("".join(text)).split()):
-                out.append(Line(line, stack[-1][1] if stack else "", main > 0, never > 0, maybe > 0))
+                out.append(Line(line, stack[-1][1] if stack else 0, main > 0, never > 0, maybe > 0))
             text.clear()
 
     while at < size:
@@ -109,13 +110,13 @@ def lines_of(page: str) -> list[Line]:
         elif name in _BLOCK:
             flush()
         if tag[1] == "/":
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    if any(x[2] or x[3] or x[4] for x in stack[k:]):
-                        flush()
-                    for _, _, was_main, was_never, was_maybe in stack[k:]:
-                        main, never, maybe = main - was_main, never - was_never, maybe - was_maybe
-                    del stack[k:]
+            while opened.get(name):
+                if any(stack[-1][2:]):
+                    flush()
+                closed, _, was_main, was_never, was_maybe = stack.pop()
+                main, never, maybe = main - was_main, never - was_never, maybe - was_maybe
+                opened[closed] -= 1
+                if closed == name:
                     break
             continue
         if name in _RAW:
@@ -135,23 +136,17 @@ def lines_of(page: str) -> list[Line]:
         is_main = own and not is_never and not is_maybe and (name in _MAIN or bool(words & _MAIN_WORDS))
         if is_main or is_never or is_maybe:
             flush()
-        # Numbers in a class or id tell places of a template apart no better than its names do.
-        place = f"{stack[-1][1] if stack else ''}>{name}{'.'.join(['', *sorted(w for w in words if w.isalpha())])}" if name in _BLOCK or is_main or is_never or is_maybe else (stack[-1][1] if stack else "")
+        place = stack[-1][1] if stack else 0
+        if name in _BLOCK or is_main or is_never or is_maybe:
+            # Numbers in a class or id tell places of a template apart no better than its names do.
+            place = hash((place, name, *sorted(w for w in words if w.isalpha())))
         stack.append((name, place, is_main, is_never, is_maybe))
+        opened[name] = opened.get(name, 0) + 1
         main, never, maybe = main + is_main, never + is_never, maybe + is_maybe
     flush()
     return out
 
 
-def _row(a: list, places: dict, full: int) -> int:
-    """The last row of an alignment of ``a`` in bits of b's places: 0 where the longest common subsequence grows."""
-    v = full
-    for x in a:
-        if u := v & places.get(x, 0):
-            v = ((v + u) | (v - u)) & full
-    return v
-
-
 def _places(b: list) -> dict:
     out: dict = {}
     for k, x in enumerate(b):
@@ -159,10 +154,26 @@ def _places(b: list) -> dict:
     return out
 
 
-def _lengths(row: int, n: int) -> np.ndarray:
-    """Lengths of the longest common subsequence with each beginning of b."""
-    bits = np.unpackbits(np.frombuffer(row.to_bytes(n // 8 + 1, "little"), np.uint8), bitorder="little")[:n]
-    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+def _lengths(a: list, b: list) -> np.ndarray:
+    """Lengths of the longest common subsequence of ``a`` with each beginning of ``b``.
+
+    A row of the alignment is a number, whose bits are 0 where the subsequence grows; it is taken in blocks of b, and what a
+    block carries over to the next is kept for each line of a.
+    """
+    carry, grows = bytearray(len(a)), [np.zeros(1, np.int64)]
+    for low in range(0, len(b), BLOCK):
+        part = b[low : low + BLOCK]
+        places, n = _places(part), len(part)
+        v = full = (1 << n) - 1
+        for i, x in enumerate(a):
+            u = v & places.get(x, 0)
+            if u or carry[i]:
+                t = v + u + carry[i]
+                carry[i] = t >> n
+                v = (t | (v - u)) & full
+        bits = np.unpackbits(np.frombuffer(v.to_bytes(n // 8 + 1, "little"), np.uint8), bitorder="little")[:n]
+        grows.append(1 - bits.astype(np.int64))
+    return np.cumsum(np.concatenate(grows))
 
 
 def shared_lines(a: list, b: list) -> set[int]:
@@ -172,24 +183,24 @@ def shared_lines(a: list, b: list) -> set[int]:
     longest, so that memory grows with the lines and not with their square.
     """
     found: set[int] = set()
-    both = set(a) & set(b)
-    parts = [([k for k, x in enumerate(a) if x in both], [x for x in b if x in both])]
+    parts = [(list(range(len(a))), b)]
     while parts:
         rows, cols = parts.pop()
-        if not rows or not cols:
+        both = {a[k] for k in rows} & set(cols)
+        rows, cols = [k for k in rows if a[k] in both], [x for x in cols if x in both]
+        if not rows:
             continue
         if len(rows) > 1 and len(rows) * len(cols) > TABLE_BITS:
             half = len(rows) // 2
-            full = (1 << len(cols)) - 1
-            upper = _lengths(_row([a[k] for k in rows[:half]], _places(cols), full), len(cols))
-            lower = _lengths(_row([a[k] for k in reversed(rows[half:])], _places(cols[::-1]), full), len(cols))[::-1]
+            upper = _lengths([a[k] for k in rows[:half]], cols)
+            lower = _lengths([a[k] for k in reversed(rows[half:])], cols[::-1])[::-1]
             j = int((upper + lower).argmax())
             parts += [(rows[:half], cols[:j]), (rows[half:], cols[j:])]
             continue
         places, full, saved = _places(cols), (1 << len(cols)) - 1, []
         v = full
         for k in rows:
-            u = v & places.get(a[k], 0)
+            u = v & places[a[k]]
             v = ((v + u) | (v - u)) & full
             saved.append(v)
         row, col = len(rows), len(cols)
@@ -204,10 +215,10 @@ def shared_lines(a: list, b: list) -> set[int]:
     return found
 
 
-def _compared(lines: list[Line]) -> tuple[list[tuple[bool, str]], list[int]]:
+def _compared(lines: list[Line]) -> tuple[list[tuple[bool, int | str]], list[int]]:
     """What stands for the lines in an alignment, (by place, place or text), and the place in it of each line."""
     marked = any(x.main and not x.never for x in lines)
-    keys: list[tuple[bool, str]] = []
+    keys: list[tuple[bool, int | str]] = []
     at = []
     for x in lines:
         by_place = x.never or (marked and not x.main) or (x.maybe and not marked)
