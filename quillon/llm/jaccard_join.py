@@ -44,7 +44,7 @@ from quillon.llm.components import components
 from quillon.plans.lineage import cut, sized_join
 
 #: Shingles in one task's blobs, and in a bucket.
-FLUSH, BUCKET = 500_000, 1_000_000
+FLUSH, BUCKET = 300_000, 600_000
 #: A shingle is heavy if a share of 1/HEAVY of all documents has it, and is among the HEAVY_MOST commonest (8 bytes each in every
 #: task); a task's summary of HELD entries reports those that it saw LOCAL_HEAVY times.
 HEAVY, HEAVY_MOST, HELD, LOCAL_HEAVY = 1000, 1 << 18, 1 << 18, 4
