@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillon.plans import lineage
 from quillon.plans.lineage import cut, sized_join
 
 #: Runs of what ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` accepts, written as ranges: the regex engine runs this form several times faster.
@@ -48,8 +49,11 @@ def _texts(items: DataFrame, item_id: str, item_text: str) -> DataFrame:
 def _frequency(tokens: DataFrame, texts: DataFrame) -> DataFrame:
     """``term, df``: how often the corpus has each term of the test items; terms that it lacks have no row."""
     vocabulary = cut(texts.select(F.explode("iw").alias("term")).distinct(), "vocabulary")
-    counted = sized_join(tokens.select("term"), vocabulary, "term", "inner", "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return cut(counted, "frequency")
+    every = F.count(F.lit(1)).alias("df")
+    # A vocabulary beyond a broadcast meets the corpus's counts, so that no token is shuffled by itself.
+    if lineage.measured_bytes(vocabulary, "term") <= lineage.BROADCAST_BYTES:
+        return cut(tokens.select("term").join(F.broadcast(vocabulary), "term").groupBy("term").agg(every), "frequency")
+    return cut(tokens.groupBy("term").agg(every).join(vocabulary, "term"), "frequency")
 
 
 def _anchors(frequency: DataFrame, texts: DataFrame, window: int) -> DataFrame:

@@ -3,6 +3,7 @@
 import os
 import random
 import time
+import tracemalloc
 import zlib
 from html.parser import HTMLParser
 
@@ -132,6 +133,7 @@ def test_shuffled_joins_give_the_same(spark, docs, monkeypatch):
     for module in (line_dedup,):
         monkeypatch.setattr(module, "BROADCAST_BYTES", -1)
     monkeypatch.setitem(lineage.sized_join.__kwdefaults__, "limit", -1)
+    monkeypatch.setattr(lineage, "BROADCAST_BYTES", -1)
     broadcasts = []
     monkeypatch.setattr(lineage.F, "broadcast", lambda df: broadcasts.append(df) or df)
     got = decontam.digest(decontam.match_phrases(docs, items))
@@ -541,7 +543,7 @@ def test_html_neighbours_by_brute_force(spark):
 
 def test_html_repeats_long_pages_and_names(spark):
     long = "".join(f"<p>line {k}" for k in range(60_000))
-    made = [(k, "http://same.com/x", "<p>Same") for k in range(6)] + [(10, "http://long.com/1", long + "<p>one"), (11, "http://long.com/2", long + "<p>two"), (12, "http://long.com/3", "<div>" * 50_000 + "deep")]
+    made = [(k, "http://same.com/x", "<p>Same") for k in range(6)] + [(10, "http://long.com/1", long + "<p>one"), (11, "http://long.com/2", long + "<p>two"), (12, "http://long.com/3", "<div>" * 50_000 + "</x>" * 50_000 + "deep")]
     began = time.monotonic()
     got = extracted(spark, made)
     assert time.monotonic() - began < 60
@@ -555,8 +557,9 @@ def test_html_repeats_long_pages_and_names(spark):
 
 def test_shared_lines(monkeypatch):
     rng = random.Random(2)
-    for bits in (1 << 22, 8):
+    for bits, block in ((1 << 22, 1 << 12), (8, 1 << 12), (8, 3), (30, 1)):
         monkeypatch.setattr(html_extract, "TABLE_BITS", bits)
+        monkeypatch.setattr(html_extract, "BLOCK", block)
         for _ in range(300):
             a, b = ([rng.choice("abcde") for _ in range(rng.randrange(12))] for _ in range(2))
             table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
@@ -567,6 +570,22 @@ def test_shared_lines(monkeypatch):
             assert len(found) == table[-1][-1] and all(a[k] in left for k in found)
 
 
+def test_shared_lines_of_long_pages_take_little_memory():
+    """10^5 lines, most of them different, some often repeated, in another order here and there."""
+    rng = random.Random(6)
+    a = [f"line {k}" if k % 5 else f"often {k % 7}" for k in range(100_000)]
+    b = list(a)
+    for _ in range(300):
+        k = rng.randrange(99_000)
+        b[k : k + 50] = reversed(b[k : k + 50])
+    tracemalloc.start()
+    began = time.monotonic()
+    found = html_extract.shared_lines(a, b)
+    assert time.monotonic() - began < 120 and tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+    assert 85_000 < len(found) < 100_000
+
+
 def test_mixing(docs, empty):
     want, source = brute.targets([(a, b, d) for a, b, _, d, _ in DOCS]), {d[0]: d[3] for d in DOCS}
     got = mixing.mix(docs).collect()
