@@ -93,7 +93,7 @@ TEXTS = [
 GAP = 25
 
 #: Words that any English text has; they are gate words only where no others will do.
-COMMON = frozenset("a and any are by in is may not of or that the this to under with without you".split())
+COMMON = frozenset("a all an and any are as at be by for from if in is it its may no not of on or out so that the this to under use was with without you your".split())
 
 
 def _normalised(line: str) -> list[str]:
