@@ -19,11 +19,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         # Large star: each node hands its larger neighbours to its smallest one.
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).repartition("u").distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         # Small star: each node, and its smaller neighbours, to the smallest of them.
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(down, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(moved.unionByName(down.select("u", F.col("m").alias("v"))).repartition("u").distinct(), "edges")
+        edges = cut(moved.unionByName(down.select("u", F.col("m").alias("v"))).distinct(), "edges")
         # Done when every node has one link, and it leads to a node that has none.
         ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
         seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
