@@ -7,8 +7,8 @@
 3. Of each (source, size), the documents with the smallest seeded hashes are selected.
 
 Scale: one map-side aggregate by (source, size, hash bucket), a table of distinct sizes for each source, and a join that
-hands each bucket its quota. A hot source or size is spread over BUCKETS hash buckets, and only one bucket of each size is
-ever ranked in part.
+hands each size its quota: one row a source and size, broadcast up to QUOTA_BYTES, so that texts are not shuffled. A hot source
+or size is spread over BUCKETS hash buckets, and only one bucket of each size is ever ranked in part.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from quillon.plans.lineage import cut, sized_join
 #: Words that the dynamic programme's table covers.
 TABLE = 1 << 16
 BUCKETS = 256
+#: Quotas that may be broadcast: those of 400,000 different sizes of a source.
+QUOTA_BYTES = 64 << 20
 
 
 def _sizes(kept: int):
@@ -170,17 +172,18 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     targets = cut(totals.groupBy().applyInPandas(_targets(weights, share, most), "source string, source_size long, target double"), "targets")
     with_target = sized_join(by_size.alias("b"), targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source")), "inner", "source").select("b.*", "source_size", "target")
     plan = cut(with_target.groupBy("source").applyInPandas(_plan, "source string, size long, source_size long, target double, times long, quota long"), "plan")
-    # A size's quota goes to its buckets in order: whole ones, and a part of the last.
-    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # A size's quota goes to its buckets in order: whole ones up to a last, of which it takes a part; so one row a size tells all.
     same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source")) & (F.col(f"{a}.size") == F.col(f"{b}.size"))
-    some = F.greatest(F.lit(0), F.least("n", F.col("quota") - F.col("earlier"))).alias("some")
-    quotas = sized_join(counts.withColumn("earlier", earlier).alias("c"), plan.alias("p"), same("c", "p"), "inner", "source").select("c.source", "c.size", "bucket", "source_size", "target", "times", some, "n")
-    quotas = cut(quotas, "quotas")
-    asked = sized_join(sized.withColumn("bucket", bucket).alias("s"), quotas.alias("q"), same("s", "q") & (F.col("s.bucket") == F.col("q.bucket")), "inner", "source")
-    asked = asked.select("s.*", "source_size", "target", "times", "some", "n")
-    partly = (F.col("some") > 0) & (F.col("some") < F.col("n"))
-    rank = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy(hashed, "doc_id"))
-    once = asked.filter(~partly).withColumn("more", (F.col("some") > 0).cast("long"))
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    filled = sized_join(counts.withColumn("earlier", earlier).alias("c"), plan.alias("p"), same("c", "p"), "inner", "source").select("c.*", "source_size", "target", "times", "quota")
+    reached = F.when(F.col("earlier") + F.col("n") > F.col("quota"), F.struct(F.col("bucket").alias("last"), (F.col("quota") - F.col("earlier")).alias("some")))
+    quotas = filled.groupBy("source", "size", "source_size", "target", "times").agg(F.min(reached).alias("r"))
+    quotas = cut(quotas.select("source", "size", "source_size", "target", "times", F.coalesce("r.last", F.lit(BUCKETS)).alias("last"), F.coalesce("r.some", F.lit(0)).alias("some")), "quotas")
+    asked = sized_join(sized.withColumn("bucket", bucket).alias("s"), quotas.alias("q"), same("s", "q"), "inner", "source", limit=QUOTA_BYTES)
+    asked = asked.select("s.*", "source_size", "target", "times", "last", "some")
+    partly = (F.col("bucket") == F.col("last")) & (F.col("some") > 0)
+    rank = F.row_number().over(Window.partitionBy("source", "size").orderBy(hashed, "doc_id"))
+    once = asked.filter(~partly).withColumn("more", (F.col("bucket") < F.col("last")).cast("long"))
     part = asked.filter(partly).withColumn("more", (rank <= F.col("some")).cast("long"))
     out = once.unionByName(part).withColumn("copies", F.col("times") + F.col("more")).withColumn("taken", F.col("copies") * F.col("size"))
     return out.select(*results, *[F.col(c).alias(k) for k, c in carried.items()])

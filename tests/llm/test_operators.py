@@ -134,6 +134,7 @@ def test_shuffled_joins_give_the_same(spark, docs, monkeypatch):
         monkeypatch.setattr(module, "BROADCAST_BYTES", -1)
     monkeypatch.setitem(lineage.sized_join.__kwdefaults__, "limit", -1)
     monkeypatch.setattr(lineage, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(mixing, "QUOTA_BYTES", -1)
     broadcasts = []
     monkeypatch.setattr(lineage.F, "broadcast", lambda df: broadcasts.append(df) or df)
     got = decontam.digest(decontam.match_phrases(docs, items))
@@ -258,7 +259,7 @@ def edited(rng):
     return made
 
 
-@pytest.mark.parametrize(("pivots", "leaf", "group"), [(2, 2, 1), (3, 5, 7), (8, 32, 20_000)])
+@pytest.mark.parametrize(("pivots", "leaf", "group"), [(2, 2, 1), (3, 5, 7), (8, 32, 250)])
 def test_jaccard_chains_and_thresholds(spark, monkeypatch, pivots, leaf, group):
     for name, value in (("PIVOTS", pivots), ("LEAF", leaf), ("GROUP", group)):
         monkeypatch.setattr(jaccard_join, name, value)
