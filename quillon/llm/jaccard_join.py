@@ -49,7 +49,7 @@ FLUSH, BUCKET = 300_000, 600_000
 #: task); a task's summary of HELD entries reports those that it saw LOCAL_HEAVY times.
 HEAVY, HEAVY_MOST, HELD, LOCAL_HEAVY = 1000, 1 << 18, 1 << 18, 4
 #: Pivots that split a region, documents of a region that is compared pair by pair, pairs in a salted group of one pivot.
-PIVOTS, LEAF, GROUP = 8, 32, 20_000
+PIVOTS, LEAF, GROUP = 8, 32, 250
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[list[tuple[int, np.ndarray]]]:
@@ -257,8 +257,9 @@ def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``p, x, common, total, d`` of distinct pairs (p, x): each salted group of a pivot gets its set once, then its partners."""
     pairs = cut(pairs.distinct(), "pairs")
-    salt = F.pmod(F.xxhash64("x"), F.lit(max(1, pairs.count() // GROUP))).alias("salt")
-    salted = pairs.select("p", "x", salt)
+    many = cut(pairs.groupBy("p").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP), "hubs")
+    salt = F.when(F.col("n").isNotNull(), F.pmod(F.xxhash64("x"), F.floor(F.col("n") / GROUP) + 1)).otherwise(F.lit(0))
+    salted = sized_join(pairs, many, "p", "left").select("p", "x", salt.cast("long").alias("salt"))
     heads = salted.select("p", "salt").distinct().join(sets.select(F.col("doc_id").alias("p"), "n", "keys"), "p").select("p", "salt", F.lit(None).cast("long").alias("x"), "n", "keys")
     others = salted.join(sets.select(F.col("doc_id").alias("x"), "n", "keys"), "x").select("p", "salt", "x", "n", "keys")
     groups = heads.unionByName(others).repartition("p", "salt").sortWithinPartitions("p", "salt", F.col("x").asc_nulls_first())
