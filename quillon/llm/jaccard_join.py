@@ -18,8 +18,8 @@ that a single class has can't be shared, and count only by number.
 At every step a pair is skipped if its documents are in one component, if their distances to the region's pivot differ by more
 than eps (the window of one pivot), or if the shingles from the cell's on are too few for the threshold.
 
-Exactness: shingles are 64-bit hashes, of which the shuffle keeps the bucket and 48 bits (all 64 of common ones); two of a
-corpus of 10^9 distinct shingles collide with a chance of some 10^-9 in each pair of documents compared. All counts are exact.
+Exactness: shingles are 64-bit hashes, of which the shuffle keeps the bucket and 48 bits (all 64 of common ones): two documents of
+300 shingles have one in common by accident with a chance of some 3 * 10^-11. All counts are exact.
 
 Scale: one shuffle of 6 bytes a shingle in numpy blobs. Shingles that a share of 1 / HEAVY of all documents have bypass their
 bucket, so that copies and passages make no hot task; tasks count them in Misra-Gries summaries of HELD entries, which find
